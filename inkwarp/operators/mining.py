@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicons as L
 from ..functions import text as T
+from ..session import settle
 
 
 def letter_gates(inside: Column, letters: dict[str, str] = L.LETTER_GATES) -> Column:
@@ -60,7 +61,7 @@ def problem_of(text: Column, title: Column) -> Column:
     both = F.lower(F.concat_ws(" ", T.text(title), T.text(text)))
     pattern = rf"(?:{'|'.join(L.PROBLEM_HEADS)})[{T.SPACE}]+for[{T.SPACE}]+((?:[{T.WORD}\-]+[{T.SPACE}]?){{1,4}})"
     aim = F.regexp_replace(F.regexp_extract(both, pattern, 1), rf"[{T.SPACE}]+$", "")
-    group = F.regexp_extract(both, rf"([{T.WORD}{T.SPACE}]+) problem", 1)
+    group = F.when(F.contains(both, F.lit(" problem")), F.regexp_extract(both, rf"([{T.WORD}{T.SPACE}]+) problem", 1)).otherwise(F.lit(""))
     before = F.regexp_replace(group, rf"^[{T.SPACE}]+|[{T.SPACE}]+$", "")
     return F.coalesce(
         known_problem(both),
@@ -88,13 +89,17 @@ def mine(figures: DataFrame, title: Column | None = None) -> DataFrame:
     page text.
     """
     c, i, x = (T.clean_text(F.col(n)) for n in ("caption_text", "figure_content_text", "referencing_context"))
-    base = figures.withColumns({"_c": c, "_i": i, "_x": x}).withColumn("_all", F.concat_ws(" ", "_c", "_i", "_x"))
+    # Kept once: the patterns below would otherwise each be handed the whole cleaning as their input.
+    base = settle(
+        figures.select("arxiv_id", "page_num", "figure_idx", "caption_span", "context_span", (title if title is not None else F.lit("")).alias("_t"), c.alias("_c"), i.alias("_i"), x.alias("_x"))
+        .withColumn("_all", F.concat_ws(" ", "_c", "_i", "_x"))
+    )
     has_c, has_x = F.col("_c") != "", F.col("_x") != ""
     return base.select(
         file_name(F.col("arxiv_id"), F.col("page_num"), F.col("figure_idx")).alias("filename"),
         F.col("arxiv_id").alias("arxiv_number"), F.col("page_num").alias("page_number"), (F.col("figure_idx") + 1).alias("figure_number"),
         gates_of(F.col("_i"), F.col("_all")).alias("quantum_gates"),
-        problem_of(F.col("_all"), title if title is not None else F.lit("")).alias("quantum_problem"),
+        problem_of(F.col("_all"), F.col("_t")).alias("quantum_problem"),
         F.array_compact(F.array(F.when(has_c, F.col("_c")), F.when(has_x, F.concat(F.lit("Context: "), "_x")))).alias("descriptions"),
         F.array_compact(F.array(F.when(has_c, F.col("caption_span")), F.when(has_x, F.col("context_span")))).alias("text_positions"),
     )

@@ -11,7 +11,7 @@ from ..operators import linking as K
 from ..operators import mining as M
 from ..operators import predicates as P
 from ..operators.ml import Scorer, constant_scorer
-from ..session import paper
+from ..session import paper, settle
 
 
 def with_paper(df: DataFrame) -> DataFrame:
@@ -61,6 +61,7 @@ def accepted_figures(candidates: DataFrame, scorer: Scorer | None = None) -> Dat
 def run(blocks: DataFrame, pages: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     """The mined records of all accepted figures of the pages."""
     blocks, pages = with_paper(blocks), with_paper(pages)
-    figures = accepted_figures(described_figures(blocks, pages), scorer)
+    # Kept once: a veto pushed below would repeat the search for each context in every rule.
+    figures = accepted_figures(settle(described_figures(blocks, pages)), scorer)
     named = figures.join(K.titles(pages).withColumnRenamed("paper", "arxiv_id"), "arxiv_id", "left")
     return M.mine(named, F.col("title"))
