@@ -13,7 +13,7 @@ whole combinations of labels.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from ..session import settle
 from .glyphs import unify_arrow
 
-ROUNDS = 4
+ROUNDS = 2
+CHUNK = 500  # documents taken together
 PURE = 0.5  # share of a word's documents that must be of its subject
 SHARE = 1e-6  # of all word uses; so a million words at most are known
 USES = 3
@@ -79,15 +80,19 @@ def _emit(sums: dict[str, np.ndarray], k: int) -> pa.RecordBatch:
 
 
 def _summed(docs: DataFrame, step, width: int) -> DataFrame:
-    """Sums over all documents of what step(sentences, row labels, sums) adds per word; added up per task first."""
+    """Sums over all documents of what step(documents, labels) gives per word; added up per task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(width))
+        sums: dict[str, np.ndarray] = {}
         for b, all_sents in _batches(batches):
             extra = b.column("subjects").to_pylist() if "subjects" in b.schema.names else [None] * len(all_sents)
-            for sents, labels in zip(all_sents, extra, strict=True):
-                if sents:
-                    step(sents, labels, sums)
+            for lo in range(0, len(all_sents), CHUNK):
+                names, values = step(all_sents[lo : lo + CHUNK], extra[lo : lo + CHUNK])
+                for f, v in zip(names, values, strict=True):
+                    if f in sums:
+                        sums[f] += v
+                    else:
+                        sums[f] = v.copy()
             if len(sums) > 300_000:
                 yield _emit(sums, width)
                 sums.clear()
@@ -97,13 +102,36 @@ def _summed(docs: DataFrame, step, width: int) -> DataFrame:
     return docs.mapInArrow(run, schema).groupBy("f").agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(width)))
 
 
+class _Flat:
+    """The sentences of some documents as arrays: of each its document, of each use of a word its sentence and word."""
+
+    def __init__(self, docs: list[list[list[str]]]):
+        ids: dict[str, int] = {}
+        words: list[int] = []
+        sizes, self.doc = [], []
+        for d, sents in enumerate(docs):
+            for s in sents:
+                self.doc.append(d)
+                sizes.append(len(s))
+                words += [ids.setdefault(f, len(ids)) for f in s]
+        self.names = list(ids)
+        self.doc = np.array(self.doc, np.int64)
+        self.word = np.array(words, np.int64)
+        self.sentence = np.repeat(np.arange(len(sizes)), sizes)
+
+
 def _from_labels(k: int):
-    def step(sents, labels, sums) -> None:
-        y = np.zeros(k + 2)
-        y[labels] = 1 / len(labels)
-        y[k] = 1
-        for f in {f for s in sents for f in s}:
-            sums[f] += y
+    def step(docs, labels):
+        flat = _Flat(docs)
+        y = np.zeros((len(docs), k + 2))
+        for d, own in enumerate(labels):
+            y[d, own] = 1 / len(own)
+            y[d, k] = 1
+        pair = np.unique(flat.doc[flat.sentence] * max(len(flat.names), 1) + flat.word) if len(flat.word) else np.zeros(0, np.int64)
+        out = np.zeros((len(flat.names), k + 2))
+        if len(pair):
+            np.add.at(out, pair % len(flat.names), y[pair // len(flat.names)])
+        return flat.names, out
 
     return step
 
@@ -112,51 +140,28 @@ def _from_others(terms: Terms):
     """For each word, how much the other sentences of its documents are of each subject."""
     k = terms.k
 
-    def step(sents, _, sums) -> None:
-        z = [terms.of(s)[0] for s in sents]
-        total = np.zeros(k + 2)
-        for x in z:
-            if x >= 0:
-                total[x] += 1
-        where: dict[str, list[int]] = defaultdict(list)
-        for i, s in enumerate(sents):
-            for f in s:
-                where[f].append(i)
-        n = total.sum()
-        whole = None
-        if n:
-            whole = total / n
-            whole[k] = 1
-        alone: dict[int, np.ndarray | None] = {}
-        for f, at in where.items():
-            own = [z[i] for i in at if z[i] >= 0]
-            if not own:
-                if whole is not None:
-                    sums[f] += whole
-                    sums[f][k + 1] += 1
-                else:
-                    sums[f][k + 1] += 1
-                continue
-            if len(own) == 1:
-                if own[0] not in alone:
-                    rest = total.copy()
-                    rest[own[0]] -= 1
-                    m = rest.sum()
-                    alone[own[0]] = None if m <= 0 else rest / m
-                    if m > 0:
-                        alone[own[0]][k] = 1
-                rest = alone[own[0]]
-            else:
-                rest = total.copy()
-                for x in own:
-                    rest[x] -= 1
-                m = rest.sum()
-                rest = rest / m if m > 0 else None
-                if rest is not None:
-                    rest[k] = 1
-            if rest is not None:
-                sums[f] += rest
-            sums[f][k + 1] += 1
+    def step(docs, _):
+        flat = _Flat(docs)
+        v = len(flat.names)
+        if not v:
+            return [], np.zeros((0, k + 2))
+        z = np.array([terms.of(s)[0] for sents in docs for s in sents], np.int64)
+        total = np.zeros((len(docs), k))
+        np.add.at(total, (flat.doc[z >= 0], z[z >= 0]), 1)
+        pair, at = np.unique(flat.doc[flat.sentence] * v + flat.word, return_inverse=True)
+        zw = z[flat.sentence]
+        own = np.bincount(at[zw >= 0] * k + zw[zw >= 0], minlength=len(pair) * k).reshape(len(pair), k)
+        rest = total[pair // v] - own
+        m = rest.sum(1)
+        tells = m > 0
+        word = pair % v
+        share = rest[tells] / m[tells, None]
+        out = np.empty((v, k + 2))
+        for i in range(k):
+            out[:, i] = np.bincount(word[tells], share[:, i], v)
+        out[:, k] = np.bincount(word[tells], minlength=v)
+        out[:, k + 1] = np.bincount(word, minlength=v)
+        return flat.names, out
 
     return step
 
@@ -176,19 +181,20 @@ def _terms(sums: DataFrame, k: int, prior: np.ndarray, uses: float, pure: float,
 def _frames(terms: Terms):
     """For each word beside the terms: sentences of a subject, and how many agree with the rest of their document."""
 
-    def step(sents, _, sums) -> None:
-        z = [terms.of(s)[0] for s in sents]
-        n: dict[int, int] = defaultdict(int)
-        for x in z:
-            if x >= 0:
-                n[x] += 1
-        total = sum(n.values())
-        for s, x in zip(sents, z, strict=True):
-            if x >= 0 and total > 1:
-                agree = float(n[x] > 1)
-                for f in s:
-                    if f not in terms.weight:
-                        sums[f] += (1.0, agree)
+    def step(docs, _):
+        sums: dict[str, np.ndarray] = {}
+        for sents in docs:
+            z = [terms.of(s)[0] for s in sents]
+            n = Counter(x for x in z if x >= 0)
+            if sum(n.values()) < 2:
+                continue
+            for s, x in zip(sents, z, strict=True):
+                if x >= 0:
+                    agree = np.array((1.0, float(n[x] > 1)))
+                    for f in s:
+                        if f not in terms.weight:
+                            sums[f] = sums[f] + agree if f in sums else agree
+        return list(sums), list(sums.values())
 
     return step
 
