@@ -27,18 +27,19 @@ def text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def either(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions) if conditions else F.lit(False)
-
-
 def contains_any(c: Column, terms: list[str]) -> Column:
-    """Whether any of the terms is a substring: an unrolled OR, which stops at the first hit and stays in generated code."""
-    return either([F.contains(text(c), F.lit(t)) for t in terms])
+    """Whether any of the terms is a substring.
+
+    One lambda over a literal list: measured on 12,000 figures, an OR of 250 single tests took
+    twenty seconds longer to compile than this takes to run. c should be a plain column, as it
+    is looked at once for each term.
+    """
+    return F.exists(F.array(*map(F.lit, terms)), lambda t: F.contains(text(c), t)) if terms else F.lit(False)
 
 
 def count_terms(c: Column, terms: list[str]) -> Column:
     """How many of the terms occur, not how often."""
-    return reduce(lambda a, b: a + b, [F.contains(text(c), F.lit(t)).cast("int") for t in terms], F.lit(0))
+    return F.size(F.filter(F.array(*map(F.lit, terms)), lambda t: F.contains(text(c), t))) if terms else F.lit(0)
 
 
 def tokens(c: Column) -> Column:

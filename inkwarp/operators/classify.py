@@ -36,14 +36,17 @@ DEFAULT = Rules()
 
 @dataclass(frozen=True)
 class Texts:
-    """The texts of a candidate; NULL counts as empty."""
+    """The texts of a candidate; NULL counts as empty. With `lowered`, the columns that hold them in lower case."""
 
     caption: Column
     inside: Column
     context: Column
+    lowered: tuple[Column, Column, Column, Column] | None = None
 
     @property
     def low(self) -> tuple[Column, Column, Column, Column]:
+        if self.lowered:
+            return self.lowered
         a, b, c = (F.lower(T.text(x)) for x in (self.caption, self.inside, self.context))
         return a, b, c, F.concat_ws(" ", a, b, c)
 
@@ -75,10 +78,9 @@ def number(p: Column) -> Column:
     return F.when(p.isNull(), F.lit(0.0)).when(~F.isnan(p), p)
 
 
-def parts(t: Texts, p: Column, r: Rules = DEFAULT) -> list[tuple[str, Column]]:
-    """(name, points) of every rule of the score, in order; points are NULL where a rule does not apply."""
+def parts(t: Texts, p: Column, g: Column, r: Rules = DEFAULT) -> list[tuple[str, Column]]:
+    """(name, points) of every rule of the score, in order; points are NULL where a rule does not apply. g: gate hits."""
     caption, _, context, blob = t.low
-    g = T.strict_gates(t.inside)
     p = number(p)
     strong = T.contains_any(blob, r.strong)
     on = lambda cond, points: F.when(cond, F.lit(points))
@@ -104,22 +106,34 @@ def decide(score: Column, gates: Column, p: Column) -> Column:
     return F.when(score >= 3, ~((gates == 0) & yes(p < 0.25))).when(score >= 2, yes(p > 0.3)).when(gates > 0, yes(p > 0.35)).otherwise(yes(p > 0.92))
 
 
+NAMES = ("_caption", "_inside", "_context", "_blob")
+
+
+def lowered(df: DataFrame, caption: str = "caption_text", inside: str = "figure_content_text", context: str = "referencing_context") -> tuple[DataFrame, Texts]:
+    """df with its texts once in lower case (columns NAMES), and the Texts that use them."""
+    plain = Texts(F.col(caption), F.col(inside), F.col(context))
+    return df.withColumns(dict(zip(NAMES, plain.low, strict=True))), Texts(plain.caption, plain.inside, plain.context, tuple(map(F.col, NAMES)))
+
+
 def classify(df: DataFrame, caption: str = "caption_text", inside: str = "figure_content_text", context: str = "referencing_context", prob: str = "bert_circuit_prob", rules: Rules = DEFAULT) -> DataFrame:
     """df with veto, gates, score, accepted and reasons (an array in rule order).
 
     A vetoed row keeps score 0 and is not accepted; its gates are NULL, as they were not counted.
     Columns of these names in df are replaced.
     """
-    t = Texts(F.col(caption), F.col(inside), F.col(context))
+    # Lowered once and the rules in steps, so that each step stays within generated code.
+    df, t = lowered(df, caption, inside, context)
     p = F.col(prob).cast("double")
-    found = parts(t, p, rules)
+    found = parts(t, p, F.col("gates"), rules)
+    rule = [f"_r{i}" for i in range(len(found))]
     fine = F.col("veto").isNull()
-    total = sum((F.coalesce(points, F.lit(0)) for _, points in found), F.lit(0))
-    named = F.array_compact(F.array(*(F.when(points.isNotNull(), F.lit(name)) for name, points in found)))
+    total = sum((F.coalesce(F.col(r), F.lit(0)) for r in rule), F.lit(0))
+    named = F.array_compact(F.array(*(F.when(F.col(r).isNotNull(), F.lit(n)) for r, (n, _) in zip(rule, found, strict=True))))
+    df = df.withColumn("veto", veto(t, rules)).withColumn("gates", F.when(fine, T.strict_gates(t.inside)))
+    df = df.withColumns({r: F.when(fine, points) for r, (_, points) in zip(rule, found, strict=True)})
     return (
-        df.withColumn("veto", veto(t, rules))
-        .withColumn("gates", F.when(fine, T.strict_gates(t.inside)))
-        .withColumn("score", F.when(fine, total).otherwise(F.lit(0)))
+        df.withColumn("score", F.when(fine, total).otherwise(F.lit(0)))
         .withColumn("accepted", F.when(fine, decide(F.col("score"), F.col("gates"), p)).otherwise(F.lit(False)))
         .withColumn("reasons", F.when(fine, named).otherwise(F.array(F.concat(F.lit("HardVeto:"), "veto"))))
+        .drop(*NAMES, *rule)
     )

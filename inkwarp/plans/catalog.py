@@ -26,10 +26,6 @@ def _figures(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "figure_candidates")
 
 
-def _texts() -> C.Texts:
-    return C.Texts(F.col("caption_text"), F.col("figure_content_text"), F.col("referencing_context"))
-
-
 def _blocks(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.with_paper(table(spark, d, "text_blocks"))
 
@@ -60,8 +56,8 @@ def strict_gate_count(spark, d):
 
 
 def lexicon_hits(spark, d):
-    low = F.lower(T.text(F.col("caption_text")))
-    return _figures(spark, d).select("candidate_id", T.contains_any(low, L.HARDWARE_VETO).alias("hardware"), T.count_terms(low, L.PLOT_EVAL).alias("plot_terms"), T.count_terms(low, L.CIRCUIT_WORDS).alias("circuit_terms"))
+    low = F.col("low")
+    return _figures(spark, d).select("candidate_id", F.lower(T.text(F.col("caption_text"))).alias("low")).select("candidate_id", T.contains_any(low, L.HARDWARE_VETO).alias("hardware"), T.count_terms(low, L.PLOT_EVAL).alias("plot_terms"), T.count_terms(low, L.CIRCUIT_WORDS).alias("circuit_terms"))
 
 
 def bullet_veto(spark, d):
@@ -74,7 +70,8 @@ def caption_blocks(spark, d):
 
 # --- classifier ---
 def veto_cascade(spark, d):
-    return _figures(spark, d).select("candidate_id", F.coalesce(C.veto(_texts()), F.lit("")).alias("veto"))
+    low, t = C.lowered(_figures(spark, d))
+    return low.select("candidate_id", F.coalesce(C.veto(t), F.lit("")).alias("veto"))
 
 
 def score_ladder(spark, d):

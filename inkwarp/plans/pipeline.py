@@ -52,8 +52,8 @@ def accepted_figures(candidates: DataFrame, scorer: Scorer | None = None) -> Dat
 
     The vetoes come before the scorer, so that a costly model sees only what they leave.
     """
-    t = C.Texts(F.col("caption_text"), F.col("figure_content_text"), F.col("referencing_context"))
-    open_ = candidates.filter(C.veto(t).isNull())
+    low, t = C.lowered(candidates)
+    open_ = low.filter(C.veto(t).isNull()).drop(*C.NAMES)
     scored = (scorer or constant_scorer())(open_, M.model_text(F.col("caption_text"), F.col("referencing_context")))
     return C.classify(scored, prob="p").filter("accepted")
 
