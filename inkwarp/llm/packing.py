@@ -74,7 +74,7 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, bounds: list[int] | None
     left[0] = 0
     used = np.zeros(len(left), np.int64)
     bounds = bucket_bounds(counts) if bounds is None else bounds
-    floors = dict(zip(bounds, [0, *bounds[:-1]], strict=True))
+    floors = dict(zip(bounds, [0, *bounds[:-1]], strict=False))
     runs: list[Run] = []
     lengths = [int(x) for x in np.flatnonzero(left)[::-1]]
     while lengths := [x for x in lengths if left[x]]:

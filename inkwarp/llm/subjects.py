@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from ..session import settle
 from .glyphs import unify_arrow
 
-ROUNDS = 2
+ROUNDS = 3
 CHUNK = 500  # documents taken together
-PURE = 0.5  # share of a word's documents that must be of its subject
+PURE = 0.45  # how far from the subject's prior share towards 1 the share of a word's documents must be
 SHARE = 1e-6  # of all word uses; so a million words at most are known
 USES = 3
 SHRINK = 2.0
@@ -170,11 +170,12 @@ def _terms(sums: DataFrame, k: int, prior: np.ndarray, uses: float, pure: float,
     """The words at least so pure, from their sums: s0..s(k-1) by subject, sk documents that tell, s(k+1) all uses."""
     counted = F.greatest(F.col(f"s{k}"), F.lit(1e-9))
     ratios = [(F.col(f"s{i}") + float(shrink * prior[i])) / (counted + shrink) for i in range(k)]
-    best = F.greatest(*ratios) if k > 1 else ratios[0]
+    above = [(r - float(prior[i])) / float(max(1 - prior[i], 1e-9)) for i, r in enumerate(ratios)]
+    best = F.greatest(*above) if k > 1 else above[0]
     # At most 1 / SHARE words, as each has that share of all uses.
     rows = sums.filter(F.greatest(f"s{k}", f"s{k + 1}") >= uses).filter(best >= pure).select("f", *(r.alias(f"r{i}") for i, r in enumerate(ratios))).toPandas()
     table = rows[[f"r{i}" for i in range(k)]].to_numpy()
-    which = table.argmax(1) if len(table) else np.zeros(0, int)
+    which = ((table - prior) / np.maximum(1 - prior, 1e-9)).argmax(1) if len(table) else np.zeros(0, int)
     return Terms({f: (int(j), float(np.log(table[i, j] / prior[j]))) for i, (f, j) in enumerate(zip(rows["f"], which, strict=True))}, k)
 
 
@@ -332,11 +333,14 @@ def train(documents: DataFrame, ratings: DataFrame, areas: DataFrame) -> tuple[M
         return Model(Terms({}, k), {}, 1.0, prior), ids
     base = texts.select("text")
     first = _summed(labelled.select("text", "subjects"), _from_labels(k), k + 2)
-    terms = _terms(first, k, prior, 2, 0.4, 1.0)
+    shown = first.agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(k + 1))).first()
+    terms = _terms(first, k, (np.array([shown[i] or 0.0 for i in range(k)]) + 1e-3) / ((shown[k] or 0.0) + k * 1e-3), 2, 0.35, 1.0)
     for _ in range(ROUNDS):
         sums = settle(_summed(base, _from_others(terms), k + 2))
-        uses = sums.agg(F.sum(f"s{k + 1}")).first()[0] or 0
-        terms = _terms(sums, k, prior, max(USES, SHARE * uses), PURE, SHRINK)
+        whole = sums.agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(k + 2))).first()
+        # Measured against the share that each subject has just now, no subject can draw the common words to it.
+        base_rate = (np.array([whole[i] or 0.0 for i in range(k)]) + 1e-3) / ((whole[k] or 0.0) + k * 1e-3)
+        terms = _terms(sums, k, base_rate, max(USES, SHARE * (whole[k + 1] or 0)), PURE, SHRINK)
     agree = settle(_summed(base, _frames(terms), 2))
     usual = agree.agg((F.sum("s1") / F.sum("s0")).alias("u")).first()[0] or 1.0
     seen = agree.agg(F.sum("s0")).first()[0] or 0
