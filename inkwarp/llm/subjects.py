@@ -252,9 +252,14 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(a * (self.link(x, j, before) @ self.weights) + b, -30, 30))))
 
     def decode(self, x: np.ndarray) -> tuple[list[int], float]:
-        """The likeliest combination of labels and its log probability, by beam search along the chain."""
+        """The likeliest combination of labels and its log probability, by beam search along the chain.
+
+        A subject without any evidence in the text is never chosen.
+        """
         beam: list[tuple[float, list[int]]] = [(0.0, [])]
         for j in self.order:
+            if not x[j, :7].any():
+                continue
             grown = []
             for score, chosen in beam:
                 p = self.probability(x, j, chosen)
