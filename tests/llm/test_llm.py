@@ -164,6 +164,19 @@ def test_scans_spark(spark):
     assert scans.damaged_fields(df.limit(0), blocks.limit(0)).count() == 0
 
 
+def test_neighbours_decide_what_is_misread(spark):
+    """A genuine word a glyph edit from a commoner one is left; the same edit in the commoner word's place is not."""
+    rng = random.Random(5)
+    pick = lambda words: rng.choice(words.split())
+    rows = [f"the {pick('gate phase box')} and {pick('qubit register')} of the {pick('proof code')}" for _ in range(4000)]
+    rows += [f"hot {pick('dry sandy')} arid {pick('desert climate')} with rain" for _ in range(600)]
+    lex = scans.learn(spark.createDataFrame([(r,) for r in rows], "text string"))
+    assert lex.links("arid") == ["and"]
+    assert scans.correct_words("hot dry arid desert with rain", lex) == ("hot dry arid desert with rain", False)
+    assert scans.correct_words("the gate arid qubit of the proof", lex) == ("the gate and qubit of the proof", True)
+    assert scans.correct_words("the phose and register of the code", lex) == ("the phase and register of the code", True)
+
+
 def test_skip_gram_groups_like_words():
     counts = np.zeros((4, 4), np.float32)
     counts[:2, :2] = 50
