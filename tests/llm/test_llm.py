@@ -164,6 +164,25 @@ def test_scans_spark(spark):
     assert scans.damaged_fields(df.limit(0), blocks.limit(0)).count() == 0
 
 
+def test_glyph_key_survives_misreading():
+    assert all(scans.glyph_key(a) == scans.glyph_key(b) for a, b in scans.MISREAD)
+
+
+def test_rare_words_are_known_at_any_size(spark):
+    """Words far under the broadcast share are repaired and joined as with all words at hand."""
+    many = "the gate and the register of the box " * 20
+    figs = [(i, "2001.00001", 3, many, None, None) for i in range(60)] + [(100 + i, "2001.00001", 3, "a bidirectional thermostat and the broadband counter with a band width", None, None) for i in range(12)]
+    figs += [(200, None, None, "a bidirectional thermosfat and the broadband counter", "the thermo- stat and the broad- band gate", "bidi- rec- tional register")]
+    df = spark.createDataFrame(figs, "candidate_id long, arxiv_id string, page_num int, caption_text string, referencing_context string, figure_content_text string")
+    blocks = spark.createDataFrame([], "block_key long, arxiv_id string, page_num int, block_id int, bbox struct<x0:double,y0:double,x1:double,y1:double>, text string")
+    of = lambda **x: sorted((r["row_id"], r["field_name"], r["repaired"], tuple(r["damage"])) for r in scans.mended(df, blocks, **x).collect())
+    got = of(words=5, common=5e-2)
+    assert [x[1:] for x in got if x[0] == 200] == [
+        ("caption_text", "a bidirectional thermostat and the broadband counter", ("misread",)), ("figure_content_text", "bidirectional register", ("break",)), ("referencing_context", "the thermostat and the broadband gate", ("break",)),
+    ]
+    assert got == of()
+
+
 def test_neighbours_decide_what_is_misread(spark):
     """A genuine word a glyph edit from a commoner one is left; the same edit in the commoner word's place is not."""
     rng = random.Random(5)
