@@ -10,6 +10,7 @@ the groups; and groups go to the splits in the order of their hash.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from itertools import combinations
 
 import pandas as pd
@@ -27,7 +28,7 @@ REMARK = 10  # words of a closing remark
 RUN = 16  # words of one inserted header
 SHORT = 6  # a text of fewer words says too little to be the same as another
 BLOCK = 5
-HOT = 200  # texts sharing two blocks beyond which a third must agree
+HOT = 200  # texts sharing two blocks beyond which their pairs are spread over tasks
 
 # What a scanner confuses comes out the same; several signs stand for one broad letter.
 SKELETON = {
@@ -63,7 +64,13 @@ def _skeletons(texts: pd.Series) -> pd.Series:
 
 def alike(a: str, b: str) -> bool:
     """One word, but for scan damage that the skeleton leaves."""
-    return a == b or min(len(a), len(b)) > 4 and not (a.isdigit() or b.isdigit()) and osa(a, b, 1 + (min(len(a), len(b)) > 9)) <= 1 + (min(len(a), len(b)) > 9)
+    return a == b or len(a) > 4 and len(b) > 4 and -3 < len(a) - len(b) < 3 and _damaged(a, b)
+
+
+@lru_cache(1_000_000)
+def _damaged(a: str, b: str) -> bool:
+    n = min(len(a), len(b))
+    return not (a.isdigit() or b.isdigit()) and osa(a, b, 1 + (n > 9)) <= 1 + (n > 9)
 
 
 def same_text(a: list[str], b: list[str], changed: int = CHANGED) -> bool:
@@ -88,7 +95,7 @@ def same_text(a: list[str], b: list[str], changed: int = CHANGED) -> bool:
             # After an inserted run the texts go on alike for three words.
             for k in range(1, RUN + 1):
                 for p, q in ((i + k, j), (i, j + k)):
-                    if p + 3 <= len(a) and q + 3 <= len(b) and all(alike(a[p + n], b[q + n]) for n in range(3)):
+                    if p + 3 <= len(a) and q + 3 <= len(b) and alike(a[p], b[q]) and alike(a[p + 1], b[q + 1]) and alike(a[p + 2], b[q + 2]):
                         todo.append((p, q, cost, True))
     return False
 
@@ -124,25 +131,20 @@ def _keys(texts: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def same_texts(texts: DataFrame) -> DataFrame:
+def same_texts(texts: DataFrame, hot: int = HOT) -> DataFrame:
     """(a, b): links between distinct skeletons (column skel) that are the same text.
 
-    Two texts are compared where they share two undamaged blocks. A pair of blocks that more
-    than HOT texts share must agree in a third key as well; texts that are the same share
-    three blocks or more, and so lose no link by it.
+    Two texts are compared where they share two undamaged blocks, however many texts do so.
+    The pairs of a key that more than HOT texts share are made in parts, each of about HOT
+    texts with all of them, so that no task has all.
     """
     some = settle(texts.select("skel").distinct().filter(F.size(F.split("skel", " ")) >= SHORT).withColumn("id", F.md5("skel")))
     keys = settle(some.select("id", F.explode(F.pandas_udf(_keys, "array<long>")("skel")).alias("key")))
     use = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = settle(keys.join(use, "key"))
-    cool = shared.filter(F.col("n") <= HOT).select("id", "key", F.lit(0).cast("long").alias("more"))
-    hot = shared.filter(F.col("n") > HOT).select("id", "key")
-    if not hot.isEmpty():
-        hot = hot.join(shared.select("id", F.col("key").alias("more")), "id").filter("key <> more")
-        again = hot.groupBy("key", "more").agg(F.count("*").alias("n")).filter("n > 1")
-        cool = cool.unionByName(hot.join(again, ["key", "more"]).select("id", "key", "more"))
-    cool = settle(cool)
-    pairs = cool.withColumnRenamed("id", "a").join(cool.withColumnRenamed("id", "b"), ["key", "more"]).filter("a < b").select("a", "b").distinct()
+    shared = settle(keys.join(use, "key").withColumn("parts", F.ceil(F.col("n") / hot).cast("int")))
+    one = shared.select("key", F.col("id").alias("a"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
+    other = shared.select("key", F.col("id").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    pairs = one.join(other, ["key", "part"]).filter("a < b").select("a", "b").distinct()
     words = lambda x: some.select(F.col("id").alias(x), F.col("skel").alias(f"skel_{x}"))
     return pairs.join(words("a"), "a").join(words("b"), "b").filter(F.pandas_udf(_same, "boolean")("skel_a", "skel_b")).select("a", "b")
 

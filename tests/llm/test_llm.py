@@ -1,11 +1,13 @@
 """The training-data operators against brute force, round trips and planted cases."""
 
+import hashlib
 import random
 import unicodedata
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -121,6 +123,21 @@ def test_same_captions(spark):
     assert splits.spanning_groups(labels.limit(0), figs).count() == 0
 
 
+def test_texts_that_share_one_hot_key_are_compared(spark):
+    """Many texts of one template: two that are the same meet even if two blocks are all that they share."""
+    # No cut by the words themselves within the start, so it makes two blocks and one key.
+    start, word = [w for w in (f"start{i}" for i in range(99)) if xxhash.xxh64_intdigest(w) % 3][:10], lambda i, k: f"word{i}x{k}"
+    texts = [start + [word(i, k) for k in range(5)] for i in range(260)]
+    twin = start + ["other" if k in (1, 3) else word(0, k) for k in range(5)]
+    assert splits.same_text(texts[0], twin)
+    keys = [set(x) for x in splits._keys(pd.Series([" ".join(texts[0]), " ".join(twin)]))]
+    assert len(keys[0] & keys[1]) == 1
+    df = spark.createDataFrame([(" ".join(t),) for t in [*texts, twin]], "skel string")
+    link = {hashlib.md5(" ".join(t).encode()).hexdigest() for t in (texts[0], twin)}
+    for hot in (200, 40):
+        assert link in [{r["a"], r["b"]} for r in splits.same_texts(df, hot).collect()]
+
+
 def test_splits_keep_groups(spark):
     rng = random.Random(4)
     rows = [(i, f"g{0 if i < 300 else rng.randint(1, 200)}", rng.choice([0, 1, None])) for i in range(1000)]
