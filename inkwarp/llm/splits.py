@@ -26,7 +26,7 @@ from .glyphs import unify_list
 CHANGED = 2  # words that may differ
 REMARK = 10  # words of a closing remark
 RUN = 16  # words of one inserted header
-SHORT = 6  # a text of fewer words says too little to be the same as another
+SHORT = 6  # a text of fewer words says too little to be the same as one that differs from it
 BLOCK = 5
 HOT = 200  # texts sharing two blocks beyond which their pairs are spread over tasks
 
@@ -153,13 +153,13 @@ def group_records(records: DataFrame, key: str, entity: Column, text: Column) ->
     """(key, root, entity): for every record its group, named by one of its nodes, and its own entity.
 
     A record without entity or text is grouped by the other; one without both is alone. A text
-    of fewer than SHORT words links only to itself through its entity, as it says too little.
+    of fewer than SHORT words is the same only as one of the same skeleton.
     """
     base = records.select(F.col(f"`{key}`").alias("key"), entity.alias("entity"), text.alias("raw"))
     raws = settle(base.select("raw").filter(F.col("raw").isNotNull()).distinct().withColumn("skel", F.pandas_udf(_skeletons, "string")("raw")))
     long = F.size(F.split("skel", " ")) >= SHORT
     node = base.join(raws, "raw", "left").select(
-        "key", "entity", F.concat(F.lit("e:"), "entity").alias("e"), F.when(long, F.concat(F.lit("t:"), F.md5("skel"))).alias("t"), "skel", long.alias("long")
+        "key", "entity", F.concat(F.lit("e:"), "entity").alias("e"), F.when(F.col("skel") != "", F.concat(F.lit("t:"), F.md5("skel"))).alias("t")
     )
     node = settle(node.withColumn("self", F.coalesce("e", "t", F.concat(F.lit("r:"), F.col("key").cast("string")))))
     texts = same_texts(raws.filter(long))

@@ -138,6 +138,14 @@ def test_texts_that_share_one_hot_key_are_compared(spark):
         assert link in [{r["a"], r["b"]} for r in splits.same_texts(df, hot).collect()]
 
 
+def test_short_captions_group_if_they_are_the_same(spark):
+    texts = ["Figure 1: Toffoli gate", "Fig. 7. TOFFOLI  gate.", "Figure 2: Toffoli box", "Figure 3", "Fig. 9", None]
+    rows = [(i, f"2001.0000{i}", t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "key long, entity string, text string")
+    root = {r["key"]: r["root"] for r in splits.group_records(df, "key", F.col("entity"), F.col("text")).collect()}
+    assert root[0] == root[1] and len(set(root.values())) == 5
+
+
 def test_splits_keep_groups(spark):
     rng = random.Random(4)
     rows = [(i, f"g{0 if i < 300 else rng.randint(1, 200)}", rng.choice([0, 1, None])) for i in range(1000)]
