@@ -189,6 +189,14 @@ def test_scans_spark(spark):
     assert scans.damaged_fields(df.limit(0), blocks.limit(0)).count() == 0
 
 
+def test_frequent_and_long_forms_are_searched_to_full_depth():
+    lex = scans.Lexicon({"charm": 100_000, "cborm": 200}, 10_000_000)
+    assert lex.links("cborm") == ["charm"]
+    word = "inconsistentialisationalities" * 3
+    read = word[:-7] + word[-7:].replace("a", "o").replace("l", "1").replace("t", "f")
+    assert scans.Lexicon({word: 100}, 10_000_000).links(read) == [word]
+
+
 def test_glyph_key_survives_misreading():
     assert all(scans.glyph_key(a) == scans.glyph_key(b) for a, b in scans.MISREAD)
 
