@@ -2,172 +2,216 @@
 
 Records belong together if they share an entity (a paper) or a text (a caption that is the
 same but for label, case, spacing, punctuation, characters, scan damage, two changed words or
-a short closing remark). Texts are reduced to glyph skeletons; those alike are found over
-pairs of word blocks and verified by an alignment; components over entities and texts are
-the groups; and groups go to the splits in the order of their hash.
+a short closing remark). Texts are reduced to glyph keys, which no misreading alters. A text
+that may hold a header line or a closing remark has a form without it as well; two texts are
+the same if a form of one differs from a form of the other in at most the words allowed.
+Components over entities and texts are the groups; groups go to the splits in the order of
+their hash.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
 
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import paper, settle
-from .canonical import osa
 from .components import components
-from .glyphs import unify_list
+from .glyphs import unify_arrow
+from .scans import glyph_key
 
 CHANGED = 2  # words that may differ
-REMARK = 10  # words of a closing remark
-RUN = 16  # words of one inserted header
-SHORT = 6  # a text of fewer words says too little to be the same as one that differs from it
-BLOCK = 5
-HOT = 200  # texts sharing two blocks beyond which their pairs are spread over tasks
-
-# What a scanner confuses comes out the same; several signs stand for one broad letter.
-SKELETON = {
-    "m": "rrl", "n": "rl", "d": "cl", "e": "c", "h": "ll", "b": "ll", "u": "ll", "i": "l", "1": "l", "t": "l", "f": "l", "j": "l", "0": "o", "a": "o",
-    "5": "s", "8": "ll", "6": "ll", "9": "g", "q": "g", "w": "vv", "|": "l",
-}
-_SKELETON = str.maketrans(SKELETON)
+SHARE = 5  # of so many words one may differ
+REMARK = 10  # words of a closing remark, which is no longer than what it closes
+PARTS = 5  # into which a text is cut to find texts that agree in all but CHANGED of them
+PAIRS = 32  # texts that agree so beyond which they are cut further instead of compared in pairs
+
 _FOLIO = re.compile(r"\W*(?:p(?:age|[.])?\s*)?[\dlIoOsSB]{1,5}(?:\s+of\s+[\dlIoOsSB]{1,5})?\W*", re.I)
-_HEADER = re.compile(r"\bet al\b|,\s*v[o0]l[.,]?\s*\w+", re.I)
+_HEADING = re.compile(r"(?:\d+\s+)?(?:[^\W\d_a-z]|l)")  # a page number may lead; an I may be read as l
+_BARE = re.compile(r"\W*[\dlIoOsSB]{1,5}\W*", re.I)
+_TOKEN = re.compile(r"[^\W_]+|[^\w\s.,:;()\[\]{}'\"—–-]+")
+_CUT = re.compile(r"[-¬]\s+(?=\w)")
+_NUMBER = re.compile(r"[\dlos]{1,7}", re.I)
 
 
+@lru_cache(500_000)
 def skeleton(word: str) -> str:
-    return word if word.isdigit() else word.translate(_SKELETON)
+    return word if word.isdigit() else glyph_key(word)
 
 
 _LABELS = {skeleton(x) for x in ("fig", "figure", "tab", "table")}
 
 
-def skeleton_words(text: str) -> list[str]:
-    """The words of a unified text, without its label, furniture lines and line-end cuts, as skeletons."""
-    lines = text.split("\n")
-    lines = [x for i, x in enumerate(lines) if i == 0 or not (_FOLIO.fullmatch(x) or _HEADER.search(x))]
-    joined = re.sub(r"[-¬]\s+(?=\w)", "", "\n".join(lines)).replace("-", "")
-    words = [skeleton(w) for w in re.findall(r"[^\W_]+|[^\w\s.,:;()\[\]{}'\"—–-]+", joined.lower())]
+def allowed(n: int) -> int:
+    """Words that may differ between two texts of n words: a fifth, so that four fifths agree, and two at most."""
+    return min(CHANGED, n // SHARE)
+
+
+def _words(lines: list[str]) -> tuple[list[str], list[bool]]:
+    """The skeletons of the words without the leading label and its number, and whether each begins a sentence or with a capital."""
+    text = _CUT.sub("", "\n".join(lines)).replace("-", "")
+    found = list(_TOKEN.finditer(text))
+    words = [skeleton(m[0].lower()) for m in found]
+    starts = [m[0][0].isupper() or bool(re.search(r"[.;:!?]\W*$", text[max(0, m.start() - 4) : m.start()])) for m in found]
+    skip = 0
     if words and words[0] in _LABELS:
-        words = words[2 if len(words) > 1 and re.fullmatch(r"[\dlos]{1,7}", words[1]) else 1 :]
-    return words
+        skip = 2 if len(words) > 1 and _NUMBER.fullmatch(found[1][0]) else 1
+    return words[skip:], starts[skip:]
+
+
+def _may_be_header(lines: list[str], i: int, flat: bool) -> bool:
+    """Whether the text may go on without line i: it begins like a heading, doesn't end like a part of a sentence,
+    and the next line doesn't go on with a sentence that the line has begun. In a text without capitals any line may.
+    """
+    line = lines[i].strip()
+    if line[-1:] in ".,;:-¬":
+        return False
+    if flat:
+        return True
+    open_ = i + 1 == len(lines) or lines[i - 1].rstrip()[-1:] not in ".;:!?" or not lines[i + 1].lstrip()[:1].islower()
+    return open_ and bool(_HEADING.match(line))
+
 
+def forms(text: str) -> list[tuple[list[str], bool]]:
+    """(words, whole) of a unified text: as it is first, without each line that may be a header, and all these
+    without a closing remark (whole is then false). Lines that are page numbers alone never count, but
+    for a bare number at the end, which may also be the text's last word.
+    """
+    lines = text.split("\n")
+    lines = [x for i, x in enumerate(lines) if i == 0 or not _FOLIO.fullmatch(x) or i == len(lines) - 1 and _BARE.fullmatch(x)]
+    flat = not any(c.isupper() for c in text)
+    out = []
+    for i in range(len(lines)):
+        if i and not _may_be_header(lines, i, flat) and not (i == len(lines) - 1 and _BARE.fullmatch(lines[i])):
+            continue
+        words, starts = _words(lines if i == 0 else lines[:i] + lines[i + 1 :])
+        if not words:
+            continue
+        out.append((words, True))
+        out += [(words[:k], False) for k in range(max(len(words) - REMARK, (len(words) + 1) // 2), len(words)) if starts[k] or flat]
+    return out
 
-def _skeletons(texts: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None else " ".join(skeleton_words(t)) for t in unify_list(list(texts))])
 
+# --- which parts of a text agree ---
+@lru_cache(100_000)
+def _open(n: int, path: str) -> tuple[tuple[int, ...], tuple[tuple[int, ...], ...]]:
+    """The positions of a text of n words that may differ after the choices of path, and their parts."""
+    at: tuple[int, ...] = tuple(range(n))
+    for step in path.split("/")[1:]:
+        parts = _parted(at)
+        at = tuple(p for k in map(int, step.split(",")) for p in parts[k])
+    return at, _parted(at)
 
-def alike(a: str, b: str) -> bool:
-    """One word, but for scan damage that the skeleton leaves."""
-    return a == b or len(a) > 4 and len(b) > 4 and -3 < len(a) - len(b) < 3 and _damaged(a, b)
 
+def _parted(at: tuple[int, ...]) -> tuple[tuple[int, ...], ...]:
+    k = min(PARTS, len(at))
+    ends = [len(at) * i // k for i in range(k + 1)] if k else [0]
+    return tuple(at[a:b] for a, b in zip(ends, ends[1:], strict=False))
 
-@lru_cache(1_000_000)
-def _damaged(a: str, b: str) -> bool:
-    n = min(len(a), len(b))
-    return not (a.isdigit() or b.isdigit()) and osa(a, b, 1 + (n > 9)) <= 1 + (n > 9)
 
+def narrower(words: list[str], path: str) -> list[tuple[str, int, bool]]:
+    """(path, key, proof): for every choice of parts that may differ, the hash of all other words.
 
-def same_text(a: list[str], b: list[str], changed: int = CHANGED) -> bool:
-    """Whether a and b differ in at most so many words, one inserted run (a header) and a closing remark."""
-    a, b = (a, b) if len(a) <= len(b) else (b, a)
-    if len(b) - len(a) > RUN + REMARK:
-        return False
-    seen: set[tuple[int, int, int, bool]] = set()
-    todo = [(0, 0, 0, False)]
-    while todo:
-        i, j, cost, run = todo.pop()
-        while i < len(a) and j < len(b) and alike(a[i], b[j]):
-            i, j = i + 1, j + 1
-        if i == len(a) and len(b) - j <= REMARK or j == len(b) and len(a) - i <= REMARK:
-            return True
-        if (i, j, cost, run) in seen or i == len(a) or j == len(b):
-            continue
-        seen.add((i, j, cost, run))
-        if cost < changed:
-            todo.append((i + 1, j + 1, cost + 1, run))
-        if not run:
-            # After an inserted run the texts go on alike for three words.
-            for k in range(1, RUN + 1):
-                for p, q in ((i + k, j), (i, j + k)):
-                    if p + 3 <= len(a) and q + 3 <= len(b) and alike(a[p], b[q]) and alike(a[p + 1], b[q + 1]) and alike(a[p + 2], b[q + 2]):
-                        todo.append((p, q, cost, True))
-    return False
-
-
-def _same(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([same_text(a.split(), b.split()) for a, b in zip(left, right, strict=True)], dtype="bool")
-
-
-def _hash(words: list[str]) -> int:
-    return xxhash.xxh64_intdigest(" ".join(words)) - 2**63
-
-
-def blocks(words: list[str]) -> list[int]:
-    """Hashes of the word blocks: in steps from the start, and cut where the words themselves say."""
-    out = [_hash(words[i : i + BLOCK]) for i in range(0, len(words) - BLOCK + 1, BLOCK)]
-    part: list[str] = []
-    for w in words:
-        part.append(w)
-        if len(part) > 2 and xxhash.xxh64_intdigest(w) % 3 == 0:
-            out.append(_hash(["~", *part]))
-            part = []
+    Texts of one length that differ in at most allowed(n) words have a key of each step in
+    common. proof: no more positions are open than may differ, so texts of the key are the same.
+    """
+    n, most = len(words), allowed(len(words))
+    if not most:
+        return []
+    _, parts = _open(n, path)
+    out = []
+    for free in combinations(range(len(parts)), min(most, len(parts))):
+        step = f"{path}/{','.join(map(str, free))}"
+        open_ = {p for k in free for p in parts[k]}
+        key = xxhash.xxh64_intdigest(f"{n} {step} " + " ".join(w for i, w in enumerate(words) if i not in open_)) - 2**63
+        out.append((step, key, len(open_) <= most))
     return out
 
 
-def _keys(texts: pd.Series) -> pd.Series:
-    """Of each text, a hash for every two blocks of one kind."""
-    out = []
-    for t in texts:
-        found = blocks(t.split())
-        fixed = len(t.split()) // BLOCK
-        both = [*combinations(found[:fixed], 2), *combinations(found[fixed:], 2)]
-        out.append(sorted({xxhash.xxh64_intdigest(f"{x},{y}") - 2**63 for x, y in both}))
-    return pd.Series(out)
+# --- Spark ---
+_FORMS = "rid string, words string, whole boolean, first boolean"
+_KEYS = "w string, whole boolean, path string, key long, proof boolean"
+
+
+def _all_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        out: dict[str, list] = {"rid": [], "words": [], "whole": [], "first": []}
+        for rid, text in zip(b.column("rid").to_pylist(), unify_arrow(b.column("raw"))[0].to_pylist(), strict=True):
+            for i, (words, whole) in enumerate(forms(text)):
+                for name, x in zip(out, (rid, " ".join(words), whole, i == 0), strict=True):
+                    out[name].append(x)
+        yield pa.record_batch([pa.array(out["rid"], pa.string()), pa.array(out["words"], pa.string()), pa.array(out["whole"], pa.bool_()), pa.array(out["first"], pa.bool_())], list(out))
+
+
+def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        at, path, key, proof = [], [], [], []
+        for i, (words, p) in enumerate(zip(b.column("words").to_pylist(), b.column("path").to_pylist(), strict=True)):
+            for x, k, sure in narrower(words.split(), p):
+                at.append(i)
+                path.append(x)
+                key.append(k)
+                proof.append(sure)
+        own = b.select(["w", "whole"]).take(pa.array(at, pa.int64()))
+        yield pa.record_batch([own.column("w"), own.column("whole"), pa.array(path, pa.string()), pa.array(key, pa.int64()), pa.array(proof, pa.bool_())], ["w", "whole", "path", "key", "proof"])
 
 
-def same_texts(texts: DataFrame, hot: int = HOT) -> DataFrame:
-    """(a, b): links between distinct skeletons (column skel) that are the same text.
+def same_texts(texts: DataFrame, most: int = PAIRS) -> DataFrame:
+    """(a, b): links between the texts (w, words, whole) that are the same; b may be a key that stands for all its texts.
 
-    Two texts are compared where they share two undamaged blocks, however many texts do so.
-    The pairs of a key that more than HOT texts share are made in parts, each of about HOT
-    texts with all of them, so that no task has all.
+    Every two texts that are the same meet in a key. Those of a key that few texts have are
+    compared in pairs, `most` / 2 a text at most; those of another are cut further until few
+    are left or the key itself proves that they are the same, so no key makes more links than
+    it has texts. Of two texts one must be whole.
     """
-    some = settle(texts.select("skel").distinct().filter(F.size(F.split("skel", " ")) >= SHORT).withColumn("id", F.md5("skel")))
-    keys = settle(some.select("id", F.explode(F.pandas_udf(_keys, "array<long>")("skel")).alias("key")))
-    use = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = settle(keys.join(use, "key").withColumn("parts", F.ceil(F.col("n") / hot).cast("int")))
-    one = shared.select("key", F.col("id").alias("a"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
-    other = shared.select("key", F.col("id").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    pairs = one.join(other, ["key", "part"]).filter("a < b").select("a", "b").distinct()
-    words = lambda x: some.select(F.col("id").alias(x), F.col("skel").alias(f"skel_{x}"))
-    return pairs.join(words("a"), "a").join(words("b"), "b").filter(F.pandas_udf(_same, "boolean")("skel_a", "skel_b")).select("a", "b")
-
-
-def group_records(records: DataFrame, key: str, entity: Column, text: Column) -> DataFrame:
+    todo, links = texts.withColumn("path", F.lit("")), None
+    while True:
+        keys = settle(todo.select("w", "words", "whole", "path").mapInArrow(_all_keys, _KEYS))
+        use = keys.groupBy("key").agg(F.count("*").alias("n"), F.max("whole").alias("any")).filter((F.col("n") > 1) & F.col("any")).drop("any")
+        shared = settle(keys.join(use, "key"))
+        star = shared.filter("proof").select(F.col("w").alias("a"), F.concat(F.lit("k:"), F.col("key").cast("string")).alias("b"))
+        few = shared.filter(~F.col("proof") & (F.col("n") <= most))
+        one, other = (few.select("key", F.col("w").alias(x), F.col("whole").alias(f"whole_{x}")) for x in "ab")
+        pairs = one.join(other, "key").filter((F.col("a") < F.col("b")) & (F.col("whole_a") | F.col("whole_b"))).select("a", "b").distinct()
+        words = lambda x: texts.select(F.col("w").alias(x), F.split("words", " ").alias(f"words_{x}"))
+        differ = F.size(F.filter(F.zip_with("words_a", "words_b", lambda x, y: x != y), lambda z: z))
+        room = F.least(F.lit(CHANGED), F.floor(F.size("words_a") / SHARE))
+        good = pairs.join(words("a"), "a").join(words("b"), "b").filter((F.size("words_a") == F.size("words_b")) & (differ <= room)).select("a", "b")
+        found = settle(star.unionByName(good))
+        links = found if links is None else links.unionByName(found)
+        hot = shared.filter(~F.col("proof") & (F.col("n") > most)).select("w", "path").distinct()
+        if hot.isEmpty():
+            return links
+        todo = hot.join(texts, "w")
+
+
+def group_records(records: DataFrame, key: str, entity: Column, text: Column, most: int = PAIRS) -> DataFrame:
     """(key, root, entity): for every record its group, named by one of its nodes, and its own entity.
 
     A record without entity or text is grouped by the other; one without both is alone. A text
-    of fewer than SHORT words is the same only as one of the same skeleton.
+    without any word besides its label says nothing. Texts of fewer than SHARE words are the
+    same only if all words are.
     """
     base = records.select(F.col(f"`{key}`").alias("key"), entity.alias("entity"), text.alias("raw"))
-    raws = settle(base.select("raw").filter(F.col("raw").isNotNull()).distinct().withColumn("skel", F.pandas_udf(_skeletons, "string")("raw")))
-    long = F.size(F.split("skel", " ")) >= SHORT
-    node = base.join(raws, "raw", "left").select(
-        "key", "entity", F.concat(F.lit("e:"), "entity").alias("e"), F.when(F.col("skel") != "", F.concat(F.lit("t:"), F.md5("skel"))).alias("t")
-    )
+    raws = settle(base.select("raw").filter(F.col("raw").isNotNull()).distinct().withColumn("rid", F.md5("raw")))
+    form = settle(raws.select("rid", "raw").mapInArrow(_all_forms, _FORMS).withColumn("w", F.md5("words")))
+    first = form.filter("first").select("rid", F.col("w").alias("t"))
+    owners = settle(form.join(first, "rid").select("t", "w", "whole").distinct())
+    texts = settle(form.groupBy("w").agg(F.first("words").alias("words"), F.max("whole").alias("whole")))
+    links = same_texts(texts, most)
+    linked = links.select(F.explode(F.array("a", "b")).alias("w"))
+    both = owners.groupBy("w").agg(F.count_distinct("t").alias("n"), F.max("whole").alias("whole")).filter((F.col("n") > 1) & F.col("whole")).select("w")
+    own = owners.filter("t <> w").join(linked.unionByName(both).distinct(), "w", "left_semi").select(F.col("t").alias("a"), F.col("w").alias("b"))
+    named = base.join(raws, "raw", "left").join(first, "rid", "left")
+    node = named.select("key", "entity", F.concat(F.lit("e:"), "entity").alias("e"), F.col("t"))
     node = settle(node.withColumn("self", F.coalesce("e", "t", F.concat(F.lit("r:"), F.col("key").cast("string")))))
-    texts = same_texts(raws.filter(long))
-    links = (
-        node.select(F.col("self").alias("a"), F.coalesce("t", "self").alias("b")).distinct()
-        .unionByName(texts.select(F.concat(F.lit("t:"), "a").alias("a"), F.concat(F.lit("t:"), "b").alias("b")))
-    )
-    root = components(links)
+    root = components(node.select(F.col("self").alias("a"), F.coalesce("t", "self").alias("b")).distinct().unionByName(links).unionByName(own))
     return node.join(root.withColumnRenamed("node", "self"), "self").select("key", "root", "entity")
 
 
