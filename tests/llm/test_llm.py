@@ -36,6 +36,26 @@ def test_unify_is_stable_and_per_row(texts, skip):
         assert t is None or unicodedata.is_normalized("NFC", glyphs.unify_list([t])[0]) or any(unicodedata.combining(c) for c in t)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="aeoqǘệêạ한글가각" + "\u0301\u0302\u0323\u0327\u0308\u0304\u1100\u1161\u11a8\u0345", max_size=14), st.randoms())
+def test_unify_canonically_equal(x, rnd):
+    """However its marks are composed or ordered, a text comes out as its composed form."""
+    want = unicodedata.normalize("NFC", x)
+    apart = unicodedata.normalize("NFD", x)
+    shuffled, run = [], []
+    for c in [*apart, "."]:
+        if unicodedata.combining(c):
+            run.append(c)
+        else:
+            # Marks of one class keep their order, as another order says something else.
+            order = sorted(range(len(run)), key=lambda i: rnd.random())
+            by_class = {k: iter([c for c in run if unicodedata.combining(c) == k]) for k in map(unicodedata.combining, run)}
+            shuffled += [next(by_class[unicodedata.combining(run[i])]) for i in order]
+            shuffled.append(c)
+            run = []
+    assert glyphs.unify_list([x, apart, want, "".join(shuffled[:-1])]) == [want] * 4
+
+
 def test_unify_spark(spark):
     df = spark.createDataFrame([(1, "ａ" * 50_000, "x"), (2, None, ""), (3, "plain", "ｅ")], "candidate_id long, a string, b string")
     assert {tuple(r) for r in glyphs.changed_fields(df, "candidate_id", ["a", "b"]).collect()} == {(1, "a"), (3, "b")}
