@@ -1,16 +1,17 @@
 """P7: records of several sources mixed so that each has its share of all tokens.
 
-Temperature mixing. Where the target shares can be met in full within the sources' limits of
-repetition, they are. For a larger mixture the weights are the targets, drawn towards the
-sources' own token shares by an exponent that is bisected until every limit holds; without
-targets the own shares are exponentiated until their entropy is the wanted one. The weights
+Temperature mixing. The weights are the target shares drawn towards the sources' own token
+shares by an exponent that is bisected until every limit of repetition holds; it is 1, and the
+targets are met in full, for as large a mixture as that allows. Or the own shares alone are
+exponentiated, the exponent bisected until their entropy is that of the targets. The weights
 become token budgets: whole passes over a source, and of the last pass those blocks of a
 permutation that fit, the block at the edge record by record.
 """
 
 from __future__ import annotations
 
-from math import inf, log
+from functools import reduce
+from math import log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,6 @@ from ..session import settle
 from .subjects import source_name
 
 BLOCKS = 1024
-TURNS = 8
 
 
 def entropy(weights: dict[str, float]) -> float:
@@ -48,32 +48,38 @@ def exponent_for_entropy(shares: dict[str, float], wanted: float) -> float:
     return bisect(lambda a: entropy(tempered(shares, a)) >= wanted, 0.0, 16.0)
 
 
-def weigh(held: dict[str, int], targets: dict[str, tuple[float, int]], total: int | None = None) -> tuple[dict[str, float], float]:
-    """Weights of the sources, and the size of the mixture in tokens.
+def weigh(held: dict[str, int], targets: dict[str, tuple[float, int]], total: int | None = None, by_entropy: bool = False) -> tuple[dict[str, float], float, float]:
+    """Weights of the sources, the size of the mixture in tokens, and the exponent behind the weights.
 
     held: tokens of each source; targets: (share, most repeats). A target without tokens gets
     none and the others fill its share; sources without a target are left out. Without a
-    total the mixture is the largest that keeps the target shares; a larger total than any
-    exponent allows is brought down to what the limits allow.
+    total the mixture is the largest that keeps the weights; a larger total than any exponent
+    allows is brought down to what the limits allow. by_entropy: the own shares tempered to the
+    entropy of the targets, instead of the targets.
     """
     open_ = {s: t for s, (t, r) in targets.items() if held.get(s, 0) > 0 and t > 0 and r > 0}
     if not open_:
-        return {}, 0.0
+        return {}, 0.0, 1.0
     norm = sum(open_.values())
     share = {s: t / norm for s, t in open_.items()}
     most = {s: held[s] * targets[s][1] for s in share}
-    exact = min(most[s] / share[s] for s in share)
-    if total is None or total <= exact:
-        return share, float(exact if total is None else total)
-    total = min(total, sum(most.values()))
-    own = {s: most[s] for s in share}
+    whole = sum(held[s] for s in share)
+    own = {s: held[s] / whole for s in share}
+    if by_entropy:
+        a = exponent_for_entropy(own, entropy(share))
+        weights = tempered(own, a)
+        size = min(most[s] / weights[s] for s in weights)
+        return weights, float(size if total is None else min(size, total)), a
+    size = min(most[s] / share[s] for s in share) if total is None else min(total, sum(most.values()))
+    # At 0 each source has what all its repeats would fill, which any total allows.
+    full = {s: most[s] / sum(most.values()) for s in share}
 
     def at(a: float) -> dict[str, float]:
-        raw = {s: share[s] ** a * (own[s] / sum(own.values())) ** (1 - a) for s in share}
+        raw = {s: share[s] ** a * full[s] ** (1 - a) for s in share}
         return {s: w / sum(raw.values()) for s, w in raw.items()}
 
-    a = bisect(lambda x: all(at(x)[s] * total <= most[s] * (1 + 1e-9) for s in share), 0.0, 1.0)
-    return at(a), float(total)
+    a = bisect(lambda x: all(at(x)[s] * size <= most[s] * (1 + 1e-9) for s in share), 0.0, 1.0)
+    return at(a), float(size), a
 
 
 def _of_source(documents: DataFrame, tokens: Column) -> DataFrame:
@@ -99,44 +105,56 @@ def _first_that_fit(rows: DataFrame) -> DataFrame:
     return inside.select(*rows.columns).unionByName(fits.select(*rows.columns)).drop("block")
 
 
-def mixture(documents: DataFrame, targets: DataFrame, tokens: Column, total: int | None = None, seed: int = 11) -> DataFrame:
+def _mixed(rows: DataFrame, goals: dict[str, tuple[float, int]], total: int | None, seed: int, by_entropy: bool) -> tuple[DataFrame, dict[str, float], float]:
+    mine = rows.filter(F.col("source").isin(list(goals)))
+    sizes = {r[0]: (r[1], r[2]) for r in mine.groupBy("source").agg(F.sum("tokens"), F.min("tokens")).collect()} if goals else {}  # a row for each target
+    weights, size, exponent = weigh({s: n for s, (n, _) in sizes.items()}, goals, total, by_entropy)
+    spark = rows.sparkSession
+    epoch = {s: int(w * size // sizes[s][0]) for s, w in weights.items()}
+    rest = {s: int(w * size - epoch[s] * sizes[s][0] + 1e-6) for s, w in weights.items()}
+    whole = spark.createDataFrame([(s, e) for s, e in epoch.items() if e], "source string, whole int")
+    parts = [rows.join(F.broadcast(whole), "source").select("doc_id", "source", F.explode(F.sequence(F.lit(0), F.col("whole") - 1)).alias("epoch"), "tokens")]
+    while True:
+        # A source whose next pass its limit allows and whose shortest record fits.
+        open_ = [(s, epoch[s], rest[s]) for s in rest if epoch[s] < goals[s][1] and rest[s] >= sizes[s][1]]
+        if not open_:
+            break
+        left = mine.join(F.broadcast(spark.createDataFrame(open_, "source string, epoch int, rest long")), "source").filter("tokens <= rest")
+        for taken in parts[1:]:
+            left = left.join(taken.select("doc_id", "source", "epoch"), ["doc_id", "source", "epoch"], "left_anti")
+        taken = settle(_first_that_fit(left.withColumn("h", F.xxhash64("doc_id", F.lit(seed), "epoch"))).select("doc_id", "source", "epoch", "tokens"))
+        parts.append(taken)
+        spent = dict(taken.groupBy("source").agg(F.sum("tokens")).collect())
+        for s, _, _ in open_:
+            # A long record stops a turn short of the budget; shorter ones follow, at last of another pass.
+            rest[s] -= spent.get(s, 0)
+            epoch[s] += s not in spent
+    return reduce(DataFrame.unionByName, parts).withColumn("place", F.xxhash64("doc_id", "epoch", F.lit(seed))), weights, exponent
+
+
+def mixture(documents: DataFrame, targets: DataFrame, tokens: Column, total: int | None = None, seed: int = 11, by_entropy: bool = False) -> DataFrame:
     """(doc_id, source, epoch, tokens, place): the records of the mixture, one row for each time one is used.
 
     Texts without tokens and sources without a target are not used. place orders an epoch's
     records of all sources at random; the same seed gives the same mixture. No source exceeds
-    its budget, and each comes nearer to it than its next record.
+    its budget; what it lacks is less than its shortest record, or than any record not used as often
+    as its limit allows. Of records that repeat a doc_id within
+    a source those that fit are taken together.
     """
-    goals = read_targets(targets)
+    return _mixed(settle(_of_source(documents, tokens)), read_targets(targets), total, seed, by_entropy)[0]
+
+
+def shares(documents: DataFrame, targets: DataFrame, tokens: Column, total: int | None = None, seed: int = 11, by_entropy: bool = False) -> DataFrame:
+    """(source, target_share, max_repeats, held, used, repeats, actual_share, weight, exponent) of every target and every source."""
     rows = settle(_of_source(documents, tokens))
-    held = {r[0]: r[1] for r in rows.filter(F.col("source").isin(list(goals))).groupBy("source").agg(F.sum("tokens")).collect()} if goals else {}
-    weights, size = weigh(held, goals, total)
-    spark = documents.sparkSession
-    table = spark.createDataFrame([(s, int(w * size // held[s]), int(w * size - w * size // held[s] * held[s] + 1e-6)) for s, w in weights.items()], "source string, whole int, rest long")
-    base = rows.join(F.broadcast(table), "source")  # a row for each target
-    full = base.select("doc_id", "source", F.explode(F.sequence(F.lit(0), F.greatest("whole", F.lit(1)) - 1)).alias("epoch"), "tokens", "whole").filter("whole > 0").drop("whole")
-    rest = base.select("doc_id", "source", "tokens", F.col("whole").alias("epoch"), "rest").filter("tokens <= rest").withColumn("h", F.xxhash64("doc_id", F.lit(seed), "epoch"))
-    part = None
-    for turn in range(TURNS):
-        taken = settle(_first_that_fit(rest))
-        part = taken if part is None else part.unionByName(taken)
-        if turn + 1 == TURNS or taken.isEmpty():
-            break
-        # A long record stops the first pass short of its budget; shorter ones of the rest follow.
-        spent = taken.groupBy("source").agg(F.sum("tokens").alias("spent"))
-        rest = rest.join(taken.select("doc_id", "source"), ["doc_id", "source"], "left_anti").join(F.broadcast(spent), "source", "left")
-        rest = settle(rest.withColumn("rest", F.col("rest") - F.coalesce("spent", F.lit(0))).drop("spent").filter("tokens <= rest"))
-    part = part.select("doc_id", "source", "epoch", "tokens")
-    return full.unionByName(part).withColumn("place", F.xxhash64("doc_id", "epoch", F.lit(seed)))
-
-
-def shares(documents: DataFrame, targets: DataFrame, tokens: Column, total: int | None = None, seed: int = 11) -> DataFrame:
-    """(source, target_share, max_repeats, held, used, repeats, actual_share) of every target and every source."""
-    mixed = settle(mixture(documents, targets, tokens, total, seed))
-    used = mixed.groupBy("source").agg(F.sum("tokens").alias("used"), (F.max("epoch") + 1).alias("repeats"))
-    held = _of_source(documents, tokens).groupBy("source").agg(F.sum("tokens").alias("held"))
+    mixed, weights, exponent = _mixed(rows, read_targets(targets), total, seed, by_entropy)
+    used = settle(mixed.groupBy("source").agg(F.sum("tokens").alias("used"), (F.max("epoch") + 1).alias("repeats")))
+    held = rows.groupBy("source").agg(F.sum("tokens").alias("held"))
     want = targets.select(source_name(F.col("source")).alias("source"), "target_share", "max_repeats")
-    whole = mixed.agg(F.sum("tokens")).first()[0] or 1
+    whole = used.agg(F.sum("used")).first()[0] or 1
+    given = rows.sparkSession.createDataFrame(list(weights.items()), "source string, weight double")
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return want.join(held, "source", "full").join(used, "source", "left").select(
-        "source", "target_share", "max_repeats", zero("held"), zero("used"), zero("repeats"), (F.coalesce("used", F.lit(0)) / whole).alias("actual_share")
-    )
+    return want.join(held, "source", "full").join(used, "source", "left").join(F.broadcast(given), "source", "left").select(
+        "source", "target_share", "max_repeats", zero("held"), zero("used"), zero("repeats"), (F.coalesce("used", F.lit(0)) / whole).alias("actual_share"),
+        F.coalesce("weight", F.lit(0.0)).alias("weight"), F.lit(exponent).alias("exponent"),
+    )

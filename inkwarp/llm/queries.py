@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import paper, table
+from ..session import paper, settle, table
 from . import canonical, capping, glyphs, mixing, packing, scans, splits, subjects
 from .tokens import token_count
 
@@ -83,6 +83,18 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(table(spark, d, "documents"), table(spark, d, "mix_targets"), token_count(F.col("text")))
 
 
+def p7_tempered(spark: SparkSession, d: str) -> DataFrame:
+    """The shares where the sources' own shares are tempered to the entropy of the targets."""
+    return mixing.shares(table(spark, d, "documents"), table(spark, d, "mix_targets"), token_count(F.col("text")), by_entropy=True)
+
+
+def p7_whole(spark: SparkSession, d: str) -> DataFrame:
+    """The shares of a mixture of the corpus' size, for which the limits of repetition draw the targets towards what the sources hold."""
+    documents, targets = table(spark, d, "documents"), table(spark, d, "mix_targets")
+    counted = settle(documents.select("doc_id", "source", token_count(F.col("text")).alias("n")))
+    return mixing.shares(counted, targets, F.col("n"), total=counted.agg(F.sum("n")).first()[0] or 0)
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return subjects.assign_subjects(*(table(spark, d, x) for x in ("documents", "doc_subjects", "subject_areas"))).select("doc_id", "subject_id")
 
@@ -92,7 +104,7 @@ def p8_composition(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    names = ("p1_found", "p1_unmatched", "p2_found", "p2_share", "p3_found", "p3_splits", "p4_found", "p4_repaired", "p5_found", "p5_unified", "p6_found", "p6_containers", "p6_fill", "p7_mixture", "p7_shares", "p8_found", "p8_composition")
+    names = ("p1_found", "p1_unmatched", "p2_found", "p2_share", "p3_found", "p3_splits", "p4_found", "p4_repaired", "p5_found", "p5_unified", "p6_found", "p6_containers", "p6_fill", "p7_mixture", "p7_shares", "p7_tempered", "p7_whole", "p8_found", "p8_composition")
     return {n: globals()[n] for n in names}
 
 

@@ -334,11 +334,36 @@ def test_mixing(spark):
 
 
 def test_weights():
-    w, size = mixing.weigh({"a": 100, "b": 1000}, {"a": (0.5, 2), "b": (0.5, 1)}, 800)
-    assert w["a"] * size <= 200.001 and abs(sum(w.values()) - 1) < 1e-9 and size == 800
+    w, size, a = mixing.weigh({"a": 100, "b": 1000}, {"a": (0.5, 2), "b": (0.5, 1)}, 800)
+    assert w["a"] * size <= 200.001 and abs(sum(w.values()) - 1) < 1e-9 and size == 800 and 0 < a < 1
+    w, size, a = mixing.weigh({"a": 100, "b": 1000}, {"a": (0.5, 2), "b": (0.5, 1)})
+    assert w == {"a": 0.5, "b": 0.5} and size == 400 and a == 1
     p = {"a": 0.7, "b": 0.2, "c": 0.1}
     a = mixing.exponent_for_entropy(p, 1.0)
     assert abs(mixing.entropy(mixing.tempered(p, a)) - 1.0) < 1e-6
+    w, size, a = mixing.weigh({"a": 700, "b": 200, "c": 100}, {"a": (0.2, 1), "b": (0.3, 2), "c": (0.5, 9)}, by_entropy=True)
+    assert abs(mixing.entropy(w) - mixing.entropy({"a": 0.2, "b": 0.3, "c": 0.5})) < 1e-6 and w["a"] > w["b"] > w["c"] and w["b"] * size <= 400.001
+
+
+def test_mixture_fills_its_budget(spark, monkeypatch):
+    """No record that is left would fit, however many turns that takes; and the exponent is searched."""
+    rng = random.Random(3)
+    docs = [(i, "ab"[i % 2], 2 ** rng.randint(0, 11)) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, n long")
+    goal = spark.createDataFrame([("a", 0.7, 1), ("b", 0.3, 1)], "source string, target_share double, max_repeats int")
+    calls = []
+    search = mixing.bisect
+    monkeypatch.setattr(mixing, "bisect", lambda *x: calls.append(search(*x)) or calls[-1])
+    held = {s: sum(n for _, x, n in docs if x == s) for s in "ab"}
+    budget = min(held["a"] / 0.7, held["b"] / 0.3)
+    used = mixing.mixture(df, goal, F.col("n")).toPandas()
+    for s, share in (("a", 0.7), ("b", 0.3)):
+        mine = used[used.source == s]
+        left = int(share * budget + 1e-6) - mine.tokens.sum()
+        assert 0 <= left < min([n for i, x, n in docs if x == s and i not in set(mine.doc_id)], default=1 << 40)
+    assert calls == [1.0]
+    tempered = {r["source"]: r for r in mixing.shares(df, goal, F.col("n"), by_entropy=True).collect()}
+    assert len(calls) == 2 and abs(tempered["a"]["weight"] - tempered["a"]["actual_share"]) < 0.05
 
 
 # --- P8 ---
