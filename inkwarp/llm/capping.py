@@ -105,7 +105,7 @@ def over_cap(df: DataFrame, group: Column, key: str, scores: list[str], cap: int
         by_share = count_for_share(counts.select("g", "n"), share)
         cap = by_share if cap is None else min(cap, by_share)
     over = settle(counts.filter(F.col("n") > cap).select("g"))
-    active = _with_bounds(rows, over)
+    active = settle(_with_bounds(rows, over))  # read once; every round goes over these rows only
     if cap <= 0:
         return active.select((-F.col("id")).alias(key))
     levels = [f"s{i}" for i in range(len(scores))] + ["id"]
@@ -118,7 +118,7 @@ def over_cap(df: DataFrame, group: Column, key: str, scores: list[str], cap: int
             levels = levels[: levels.index(name) + 1]
             break
         at = cut.filter("tied").select("g", "cut")
-        tied = _with_bounds(tied, at).filter(F.col(name) == F.col("cut")).drop("cut")
+        tied = settle(_with_bounds(tied, at).filter(F.col(name) == F.col("cut")).drop("cut"))
     cuts = settle(cuts)
     keep: Column = F.lit(False)
     for name in reversed(levels):
