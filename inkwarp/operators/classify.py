@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from decimal import Decimal
+from math import nextafter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,18 +80,37 @@ def number(p: Column) -> Column:
     return F.when(p.isNull(), F.lit(0.0)).when(~F.isnan(p), p)
 
 
-def parts(t: Texts, p: Column, g: Column, r: Rules = DEFAULT) -> list[tuple[str, Column]]:
-    """(name, points) of every rule of the score, in order; points are NULL where a rule does not apply. g: gate hits."""
+def _up_from() -> list[float]:
+    """For each hundredth the least double above it that is written as the next one with two decimals, half to even."""
+    out = []
+    for k in range(101):
+        tie = Decimal(2 * k + 1) / 200
+        x = float(tie)
+        out.append(x if Decimal(x) > tie or Decimal(x) == tie and k % 2 else nextafter(x, 2.0))
+    return out
+
+
+def two_decimals(p: Column) -> Column:
+    """A number written with two decimals by its exact value, as C and Python do; the engine's own rounds its shortest digits."""
+    base = F.floor(p * 100).cast("int")
+    n = base + (p >= F.get(F.array(*map(F.lit, _up_from())), base)).cast("int")
+    return F.when(p.between(0, 1), F.concat(F.floor(n / 100).cast("string"), F.lit("."), F.lpad((n % 100).cast("string"), 2, "0"))).otherwise(F.format_string("%.2f", p))
+
+
+def parts(t: Texts, p: Column, g: Column, r: Rules = DEFAULT) -> list[tuple[Column, Column]]:
+    """(reason, points) of every rule of the score, in order; points are NULL where a rule does not apply. g: gate hits."""
     caption, _, context, blob = t.low
     p = number(p)
     strong = T.contains_any(blob, r.strong)
     on = lambda cond, points: F.when(cond, F.lit(points))
-    return [
-        ("GatesIn", F.when(g > 0, F.least(g, F.lit(3)))),
+    level = F.when(p >= 0.8, "Strong").when(p >= 0.6, "Medium").when(p >= 0.4, "Weak").otherwise("Negative")
+    views = T.count_terms_in((caption, context), r.state_viz)
+    listed = [
+        (F.concat(F.lit("GatesIn:"), g), F.when(g > 0, F.least(g, F.lit(3)))),
         ("StrongCircuitKW", on(strong, 3)),
         ("WeakDiagramKW", on(~strong & T.contains_any(blob, r.weak), 1)),
-        ("BERT", F.when(p >= 0.8, 4).when(p >= 0.6, 2).when(p >= 0.4, 1).when(p < 0.2, -2)),
-        ("StateViz", on(T.contains_any(caption, r.state_viz) | T.contains_any(context, r.state_viz), -1)),
+        (F.concat(F.lit("BERT"), level, F.lit(":"), two_decimals(p)), F.when(p >= 0.8, 4).when(p >= 0.6, 2).when(p >= 0.4, 1).when(p < 0.2, -2)),
+        (F.concat(F.lit("StateViz:"), views), on(views > 0, -1)),
         ("PlotCaption", on(T.contains_any(caption, r.plot_caption), -3)),
         ("PlotKW", on(T.contains_any(blob, r.plot_words), -2)),
         ("PlotEvalKW", on(T.contains_any(blob, r.plot_eval), -2)),
@@ -97,6 +118,7 @@ def parts(t: Texts, p: Column, g: Column, r: Rules = DEFAULT) -> list[tuple[str,
         ("QubitsNoGates", on(F.contains(blob, F.lit("qubit")) & (g == 0), -2)),
         ("LatticeDiagram", on(T.contains_any(blob, r.lattice), -8)),
     ]
+    return [(F.lit(name) if isinstance(name, str) else name, points) for name, points in listed]
 
 
 def decide(score: Column, gates: Column, p: Column) -> Column:
@@ -106,6 +128,18 @@ def decide(score: Column, gates: Column, p: Column) -> Column:
     return F.when(score >= 3, ~((gates == 0) & yes(p < 0.25))).when(score >= 2, yes(p > 0.3)).when(gates > 0, yes(p > 0.35)).otherwise(yes(p > 0.92))
 
 
+def ladder_note(score: Column, gates: Column, p: Column) -> Column:
+    """The reason that the ladder itself adds; NULL where it adds none."""
+    p = number(p)
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    return (
+        F.when(score >= 3, F.when((gates == 0) & yes(p < 0.25), "HighKeywordScore_But_VisualsFail"))
+        .when(score >= 2, F.when(~yes(p > 0.3), "Score2_But_BERT_Low"))
+        .when(gates > 0, F.when(yes(p > 0.35), "LonelyGate_ConfirmedByBERT").otherwise("LonelyGate_RejectedByBERT"))
+        .when(yes(p > 0.92), "BERT_Rescue")
+    )
+
+
 NAMES = ("_caption", "_inside", "_context", "_blob")
 
 
@@ -116,7 +150,7 @@ def lowered(df: DataFrame, caption: str = "caption_text", inside: str = "figure_
 
 
 def classify(df: DataFrame, caption: str = "caption_text", inside: str = "figure_content_text", context: str = "referencing_context", prob: str = "bert_circuit_prob", rules: Rules = DEFAULT) -> DataFrame:
-    """df with veto, gates, score, accepted and reasons (an array in rule order).
+    """df with veto, gates, score, accepted and reasons (an array in rule order, then what the ladder adds).
 
     A vetoed row keeps score 0 and is not accepted; its gates are NULL, as they were not counted.
     Columns of these names in df are replaced.
@@ -128,7 +162,7 @@ def classify(df: DataFrame, caption: str = "caption_text", inside: str = "figure
     rule = [f"_r{i}" for i in range(len(found))]
     fine = F.col("veto").isNull()
     total = sum((F.coalesce(F.col(r), F.lit(0)) for r in rule), F.lit(0))
-    named = F.array_compact(F.array(*(F.when(F.col(r).isNotNull(), F.lit(n)) for r, (n, _) in zip(rule, found, strict=True))))
+    named = F.array_compact(F.array(*(F.when(F.col(r).isNotNull(), n) for r, (n, _) in zip(rule, found, strict=True)), ladder_note(F.col("score"), F.col("gates"), p)))
     df = df.withColumn("veto", veto(t, rules)).withColumn("gates", F.when(fine, T.strict_gates(t.inside)))
     df = df.withColumns({r: F.when(fine, points) for r, (_, points) in zip(rule, found, strict=True)})
     return (

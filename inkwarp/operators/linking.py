@@ -65,6 +65,7 @@ def title_of(declared: Column, first_page: Column, lines: int = 6, least: int =
 
 
 def titles(pages: DataFrame) -> DataFrame:
-    """(paper, title) from the text of each paper's first page."""
-    first = pages.groupBy("paper").agg(F.min_by("page_text", "page_num").alias("text"))
-    return first.select("paper", title_of(F.lit(None).cast("string"), F.col("text")).alias("title"))
+    """(paper, title): the declared title where pages have a column `title`, else from the text of each paper's first page."""
+    declared = F.max("title") if "title" in pages.columns else F.max(F.lit(None).cast("string"))
+    first = pages.groupBy("paper").agg(F.min_by("page_text", "page_num").alias("text"), declared.alias("own"))
+    return first.select("paper", title_of(F.col("own"), F.col("text")).alias("title"))

@@ -42,11 +42,23 @@ def class_weights(rows: DataFrame) -> DataFrame:
 def binary_metrics(rows: DataFrame, label: Column, predicted: Column) -> DataFrame:
     """(n, tp, fp, fn, accuracy, f1) of class 1; F1 is 0 without any positive."""
     y, p = label == 1, predicted == 1
-    counts = rows.filter(label.isNotNull() & predicted.isNotNull()).agg(F.count("*").alias("n"), F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"))
+    # Counted by condition: a filter on the prediction would be computed once more, below what it is computed from.
+    counts = rows.agg(F.count_if(y.isNotNull() & p.isNotNull()).alias("n"), F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"), F.count_if(y & ~p).alias("fn"))
     wrong = F.col("fp") + F.col("fn")
     return counts.select("*", F.when(F.col("n") > 0, (F.col("n") - wrong) / F.col("n")).alias("accuracy"), F.when(F.col("tp") > 0, 2 * F.col("tp") / (2 * F.col("tp") + wrong)).otherwise(F.lit(0.0)).alias("f1"))
 
 
+def mean_loss(rows: DataFrame, label: Column, p: Column, weight: float = 1.0, edge: float = 1e-7) -> DataFrame:
+    """(n, loss): the weighted mean cross entropy of probabilities p of class 1, which counts `weight` times.
+
+    Rows with a NULL label, NULL or NaN p are left out; p is kept off 0 and 1 by the edge. NULL without rows.
+    """
+    q = F.greatest(F.least(p, F.lit(1 - edge)), F.lit(edge))
+    w = F.when(label == 1, F.lit(float(weight))).otherwise(F.lit(1.0))
+    good = rows.filter(label.isNotNull() & p.isNotNull() & ~F.isnan(p))
+    return good.agg(F.count("*").alias("n"), (-F.sum(w * F.when(label == 1, F.log(q)).otherwise(F.log(1 - q))) / F.sum(w)).alias("loss"))
+
+
 def positive_probability(zero: Column, one: Column) -> Column:
     """The softmax share of class 1 of two logits."""
     top = F.greatest(zero, one)
@@ -74,6 +86,16 @@ def train_scorer(rows: DataFrame, features: int = 1 << 16, iterations: int = 20)
     return Pipeline(stages=stages).fit(good.withColumn("_w", F.when(F.col("label") == 1, F.lit(float(weight))).otherwise(F.lit(1.0))))
 
 
+def load_scorer(path: str) -> Scorer:
+    """The scorer saved at path; the degraded mode where there is none."""
+    try:
+        return model_scorer(PipelineModel.load(path))
+    except Exception as e:  # noqa: BLE001 - the readers' errors differ by file system
+        if "not exist" in str(e):
+            return constant_scorer()
+        raise
+
+
 def model_scorer(model: PipelineModel) -> Scorer:
     def score(df: DataFrame, text: Column) -> DataFrame:
         kept = df.columns

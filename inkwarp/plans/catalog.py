@@ -6,6 +6,8 @@ clean_text_full), box closure (box_clusters), and trained models (scorer_probabi
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ from ..operators import mining as M
 from ..operators import ml
 from ..operators import predicates as P
 from ..operators import state as S
-from ..session import paper, table
+from ..session import paper, settle, spread, table
+from ..sources import readers, writers
 from . import pipeline
 
 
@@ -26,6 +29,10 @@ def _figures(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "figure_candidates")
 
 
+def _spread(spark: SparkSession, d: str) -> DataFrame:
+    return spread(_figures(spark, d))
+
+
 def _blocks(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.with_paper(table(spark, d, "text_blocks"))
 
@@ -37,7 +44,7 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """How many figures each rule rejects, how many are accepted and rejected by score."""
     verdict = F.coalesce("veto", F.when(F.col("accepted"), F.lit("accepted")).otherwise(F.lit("rejected")))
-    return C.classify(_figures(spark, d)).groupBy(verdict.alias("verdict")).agg(F.count("*").alias("figures"), F.sum("score").alias("score"))
+    return C.classify(_spread(spark, d)).groupBy(verdict.alias("verdict")).agg(F.count("*").alias("figures"), F.sum("score").alias("score"))
 
 
 # --- text metrics and predicates ---
@@ -57,7 +64,7 @@ def strict_gate_count(spark, d):
 
 def lexicon_hits(spark, d):
     low = F.col("low")
-    return _figures(spark, d).select("candidate_id", F.lower(T.text(F.col("caption_text"))).alias("low")).select("candidate_id", T.contains_any(low, L.HARDWARE_VETO).alias("hardware"), T.count_terms(low, L.PLOT_EVAL).alias("plot_terms"), T.count_terms(low, L.CIRCUIT_WORDS).alias("circuit_terms"))
+    return _figures(spark, d).select("candidate_id", F.lower(T.text(F.col("caption_text"))).alias("low")).select("candidate_id", T.contains_any(low, L.HARDWARE_VETO).alias("hardware"), T.count_terms(low, L.PLOT_EVAL).alias("plot_terms"), T.count_terms(low, L.STATE_VIZ).alias("state_terms"))
 
 
 def bullet_veto(spark, d):
@@ -70,21 +77,21 @@ def caption_blocks(spark, d):
 
 # --- classifier ---
 def veto_cascade(spark, d):
-    low, t = C.lowered(_figures(spark, d))
+    low, t = C.lowered(_spread(spark, d))
     return low.select("candidate_id", F.coalesce(C.veto(t), F.lit("")).alias("veto"))
 
 
 def score_ladder(spark, d):
-    return C.classify(_figures(spark, d)).select("candidate_id", "score", "accepted", F.array_join("reasons", ",").alias("reasons"))
+    return C.classify(_spread(spark, d)).select("candidate_id", "score", "accepted", F.array_join("reasons", ",").alias("reasons"))
 
 
 def degraded_decision(spark, d):
     """Without a model every probability is 0."""
-    return C.classify(_figures(spark, d).withColumn("p", F.lit(0.0)), prob="p").select("candidate_id", "score", "accepted")
+    return C.classify(_spread(spark, d).withColumn("p", F.lit(0.0)), prob="p").select("candidate_id", "score", "accepted")
 
 
 def accepted_per_paper(spark, d):
-    return S.accepted_per_paper(C.classify(pipeline.with_paper(_figures(spark, d))))
+    return S.accepted_per_paper(C.classify(pipeline.with_paper(_spread(spark, d))))
 
 
 def verdict_counts(spark, d):
@@ -176,15 +183,39 @@ def clean_text_full(spark, d):
 
 def gate_names(spark, d):
     blob = F.concat_ws(" ", *(T.text(F.col(c)) for c in ("caption_text", "figure_content_text", "referencing_context")))
-    return _figures(spark, d).select("candidate_id", F.array_join(M.gates_of(F.col("figure_content_text"), blob), ",").alias("gates"))
+    return M.with_gates(_spread(spark, d), F.col("figure_content_text"), blob).select("candidate_id", F.array_join("gates", ",").alias("gates"))
 
 
 def known_problems(spark, d):
-    return _figures(spark, d).select("candidate_id", F.coalesce(M.known_problem(F.col("caption_text")), F.lit("Unknown")).alias("problem"))
+    low = _figures(spark, d).select("candidate_id", F.lower(T.text(F.col("caption_text"))).alias("low"))
+    return low.select("candidate_id", F.coalesce(M.known_problem(F.col("low")), F.lit("Unknown")).alias("problem"))
+
+
+def mined_problems(spark, d):
+    """The problem of every figure by its texts, cleaned but for NFKC, beside the title of its paper."""
+    texts = [T.clean_text(F.col(c), normalize=False) for c in ("caption_text", "figure_content_text", "referencing_context")]
+    fig = pipeline.with_paper(_spread(spark, d)).select("candidate_id", "paper", F.concat_ws(" ", *texts).alias("t")).join(K.titles(_pages(spark, d)), "paper", "left")
+    return M.with_problem(fig, F.col("t"), F.col("title")).select("candidate_id", "problem")
+
+
+def problem_fallbacks(spark, d):
+    """What documents say their circuits are for, or the words before 'problem'."""
+    return M.with_problem(table(spark, d, "documents"), F.col("text"), F.lit("")).select("doc_id", "problem")
+
+
+def figure_descriptions(spark, d):
+    c, x = (T.clean_text(F.col(n), normalize=False) for n in ("caption_text", "referencing_context"))
+    return _figures(spark, d).select("candidate_id", c.alias("c"), x.alias("x")).select("candidate_id", F.array_join(M.descriptions(F.col("c"), F.col("x")), "|").alias("descriptions"))
+
+
+def positive_share(spark, d):
+    """Softmax of two logits, here of the scores that figures have."""
+    zero, one = F.lit(0.0), F.when(~F.isnan("classification_score"), F.col("classification_score")).cast("double")
+    return _figures(spark, d).select("candidate_id", F.round(ml.positive_probability(zero, one), 9).alias("p"))
 
 
 def mined_records_full(spark, d):
-    fig = pipeline.with_paper(_figures(spark, d)).withColumn("arxiv_id", F.col("paper"))
+    fig = pipeline.with_paper(_spread(spark, d)).withColumn("arxiv_id", F.col("paper"))
     return M.mine(fig)
 
 
@@ -201,8 +232,57 @@ def model_texts(spark, d):
 
 
 def latest_records(spark, d):
-    """Mined records upserted by file name: the latest mined of each stays."""
-    return table(spark, d, "mined_records").filter(F.col("filename").isNotNull()).groupBy("filename").agg(F.max_by("record_id", F.struct("mined_at", "record_id")).alias("record_id"))
+    """Mined records upserted by file name into an empty data set: the latest mined of each stays."""
+    new = table(spark, d, "mined_records").select("filename", "record_id", "mined_at")
+    return M.upsert(new.limit(0), new, ["mined_at", "record_id"]).select("filename", "record_id")
+
+
+def upserted_records(spark, d):
+    """The records of even pages with those of odd pages upserted: the later batch wins whatever its time."""
+    new = table(spark, d, "mined_records").filter(F.col("filename").isNotNull()).select(F.col("arxiv_number").alias("paper"), "page_number", "record_id", "mined_at").filter(F.col("paper").isNotNull())
+    order = ["mined_at", "record_id"]
+    base = M.upsert(new.limit(0), new.filter("page_number % 2 = 0"), order, "paper")
+    return M.upsert(base, new.filter("page_number % 2 <> 0"), order, "paper").select("paper", "record_id")
+
+
+def merged_counts(spark, d):
+    """The queue with the accepted figures of its papers put in as their counts."""
+    found = S.accepted_per_paper(C.classify(pipeline.with_paper(_spread(spark, d)))).filter(F.col("paper").isNotNull())
+    return S.merge_counts(_status(spark, d), found.withColumnRenamed("found", "fig_count"))
+
+
+# --- files ---
+def _written(spark, write) -> str:
+    """Where a sink has put its files: a folder of its own in the checkpoint folder, shared and removed with it."""
+    settle(spark.range(1))
+    path = f"{spark.sparkContext.getCheckpointDir()}/files-{uuid.uuid4().hex}"
+    write(path)
+    return path
+
+
+def paper_list_file(spark, d):
+    """The paper list written as lines and read again: positions by rank, as typed ones may differ."""
+    queue = table(spark, d, "paper_queue")
+    path = _written(spark, lambda p: queue.select("arxiv_id").na.fill("").repartition(1).write.text(p))
+    return readers.read_paper_list(spark, path).groupBy("paper").agg(F.count("*").alias("listed"))
+
+
+def progress_file(spark, d):
+    """The state of the queue written as counts and read again."""
+    path = _written(spark, lambda p: writers.write_progress(_status(spark, d), p))
+    return readers.read_progress(spark, path).select("paper", "fig_count")
+
+
+def labels_file(spark, d):
+    """The labels written as a file and read again; rows with a missing text or label go."""
+    path = _written(spark, lambda p: table(spark, d, "labels_merged_new").select("text", "label").write.csv(p, header=True, escape='"', quoteAll=True))
+    return readers.read_labels(spark, path).groupBy("label", "text").agg(F.count("*").alias("rows"))
+
+
+def dataset_file(spark, d):
+    """Mined records written one JSON object a line and read again."""
+    path = _written(spark, lambda p: writers.write_dataset(table(spark, d, "mined_records").select("filename", "record_id", "quantum_problem", "page_number"), p))
+    return readers.read_dataset(spark, path, "filename string, record_id long, quantum_problem string, page_number int")
 
 
 def distinct_gates(spark, d):
@@ -250,6 +330,14 @@ def decision_metrics(spark, d):
     return ml.binary_metrics(both, F.col("label"), F.col("accepted").cast("int"))
 
 
+def decision_loss(spark, d):
+    """The mean loss of the given probabilities on the labels, weighted as for training."""
+    labels = table(spark, d, "labels_merged_new")
+    both = labels.select("candidate_id", "label").join(_figures(spark, d).select("candidate_id", F.coalesce("bert_circuit_prob", F.lit(0.0)).alias("p")), "candidate_id")
+    loss = ml.mean_loss(both, F.col("label"), F.col("p"), ml.class_weights(ml.labelled(labels)).first()["weight"] or 1.0)
+    return loss.select("n", F.round("loss", 6).alias("loss"))
+
+
 def scorer_probability(spark, d):
     model = ml.train_scorer(table(spark, d, "labels_merged_new"))
     return ml.model_scorer(model)(_figures(spark, d).select("candidate_id", "caption_text", "referencing_context"), M.model_text(F.col("caption_text"), F.col("referencing_context"))).select("candidate_id", "p")
@@ -260,7 +348,8 @@ _NAMES = (
     "verdict_counts visual_filter padded_boxes large_images page_width caption_drawings merged_drawings inside_texts box_clusters page_texts figure_ordinals "
     "caption_spans context_windows paper_titles pipeline_figures cleaned_captions clean_text_full gate_names known_problems mined_records_full mined_pipeline "
     "image_names model_texts latest_records distinct_gates queue_status unprocessed_papers next_claim progress_total soft_target stratified_split class_weights "
-    "decision_metrics scorer_probability"
+    "decision_metrics scorer_probability mined_problems problem_fallbacks figure_descriptions positive_share upserted_records merged_counts paper_list_file "
+    "progress_file labels_file dataset_file decision_loss"
 ).split()
 
 

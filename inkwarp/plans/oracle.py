@@ -70,22 +70,26 @@ def veto() -> str:
 def classified(p: str = PROB) -> str:
     """candidate_id, arxiv_id, veto, g, score, accepted, reasons."""
     strong = any_of("blob", L.STRONG_CIRCUIT)
+    views = "(" + " + ".join(f"(contains(caption, {quote(t)}) OR contains(context, {quote(t)}))::INT" for t in L.STATE_VIZ) + ")"
+    level = "CASE WHEN p >= 0.8 THEN 'Strong' WHEN p >= 0.6 THEN 'Medium' WHEN p >= 0.4 THEN 'Weak' ELSE 'Negative' END"
     rules = [
-        ("GatesIn", "CASE WHEN g > 0 THEN least(g, 3) END"),
-        ("StrongCircuitKW", f"CASE WHEN {strong} THEN 3 END"),
-        ("WeakDiagramKW", f"CASE WHEN NOT {strong} AND {any_of('blob', L.WEAK_DIAGRAM)} THEN 1 END"),
-        ("BERT", "CASE WHEN p >= 0.8 THEN 4 WHEN p >= 0.6 THEN 2 WHEN p >= 0.4 THEN 1 WHEN p < 0.2 THEN -2 END"),
-        ("StateViz", f"CASE WHEN {any_of('caption', L.STATE_VIZ)} OR {any_of('context', L.STATE_VIZ)} THEN -1 END"),
-        ("PlotCaption", f"CASE WHEN {any_of('caption', L.PLOT_CAPTION)} THEN -3 END"),
-        ("PlotKW", f"CASE WHEN {any_of('blob', L.PLOT_WORDS)} THEN -2 END"),
-        ("PlotEvalKW", f"CASE WHEN {any_of('blob', L.PLOT_EVAL)} THEN -2 END"),
-        ("PlotEvalStrong", f"CASE WHEN {any_of('blob', L.PLOT_STRONG)} THEN -3 END"),
-        ("QubitsNoGates", "CASE WHEN contains(blob, 'qubit') AND g = 0 THEN -2 END"),
-        ("LatticeDiagram", f"CASE WHEN {any_of('blob', L.LATTICE_WORDS)} THEN -8 END"),
+        ("'GatesIn:' || g", "CASE WHEN g > 0 THEN least(g, 3) END"),
+        ("'StrongCircuitKW'", f"CASE WHEN {strong} THEN 3 END"),
+        ("'WeakDiagramKW'", f"CASE WHEN NOT {strong} AND {any_of('blob', L.WEAK_DIAGRAM)} THEN 1 END"),
+        (f"'BERT' || {level} || ':' || printf('%.2f', p)", "CASE WHEN p >= 0.8 THEN 4 WHEN p >= 0.6 THEN 2 WHEN p >= 0.4 THEN 1 WHEN p < 0.2 THEN -2 END"),
+        (f"'StateViz:' || {views}", f"CASE WHEN {any_of('caption', L.STATE_VIZ)} OR {any_of('context', L.STATE_VIZ)} THEN -1 END"),
+        ("'PlotCaption'", f"CASE WHEN {any_of('caption', L.PLOT_CAPTION)} THEN -3 END"),
+        ("'PlotKW'", f"CASE WHEN {any_of('blob', L.PLOT_WORDS)} THEN -2 END"),
+        ("'PlotEvalKW'", f"CASE WHEN {any_of('blob', L.PLOT_EVAL)} THEN -2 END"),
+        ("'PlotEvalStrong'", f"CASE WHEN {any_of('blob', L.PLOT_STRONG)} THEN -3 END"),
+        ("'QubitsNoGates'", "CASE WHEN contains(blob, 'qubit') AND g = 0 THEN -2 END"),
+        ("'LatticeDiagram'", f"CASE WHEN {any_of('blob', L.LATTICE_WORDS)} THEN -8 END"),
     ]
     each = ", ".join(f"{q} AS r{i}" for i, (_, q) in enumerate(rules))
     total = " + ".join(f"coalesce(r{i}, 0)" for i in range(len(rules)))
-    names = "concat_ws(',', " + ", ".join(f"CASE WHEN r{i} IS NOT NULL THEN {quote(n)} END" for i, (n, _) in enumerate(rules)) + ")"
+    note = """CASE WHEN total >= 3 THEN CASE WHEN g = 0 AND coalesce(p < 0.25, false) THEN 'HighKeywordScore_But_VisualsFail' END WHEN total >= 2 THEN CASE WHEN NOT coalesce(p > 0.3, false) THEN 'Score2_But_BERT_Low' END
+      WHEN g > 0 THEN CASE WHEN coalesce(p > 0.35, false) THEN 'LonelyGate_ConfirmedByBERT' ELSE 'LonelyGate_RejectedByBERT' END WHEN coalesce(p > 0.92, false) THEN 'BERT_Rescue' END"""
+    names = "concat_ws(',', " + ", ".join(f"CASE WHEN r{i} IS NOT NULL THEN {n} END" for i, (n, _) in enumerate(rules)) + f", {note})"
     return f"""(WITH f AS ({FIG.format(p=p)}), v AS (SELECT *, {veto()} AS veto, {gates("inside_raw")} AS g FROM f), r AS (SELECT *, {each} FROM v), s AS (SELECT *, {total} AS total FROM r)
       SELECT candidate_id, arxiv_id, veto, g, CASE WHEN veto IS NULL THEN total ELSE 0 END AS score,
         CASE WHEN veto IS NOT NULL THEN false WHEN total >= 3 THEN NOT (g = 0 AND coalesce(p < 0.25, false)) WHEN total >= 2 THEN coalesce(p > 0.3, false)
@@ -134,6 +138,19 @@ def problem(c: str) -> str:
     return "CASE " + " ".join(f"WHEN contains({c}, {quote(n.lower())}) THEN {quote(n)}" for n in sorted(L.PROBLEM_NAMES, key=len, reverse=True)) + " ELSE 'Unknown' END"
 
 
+def titled(c: str) -> str:
+    return f"array_to_string(list_transform(regexp_extract_all({c}, {quote(T.RUNS)}), lambda x: upper(x[1]) || x[2:]), '')"
+
+
+def problem_of(source: str, key: str) -> str:
+    """source: key and `words`, the lower-case text."""
+    aim = rf"regexp_replace(regexp_extract(words, {quote(M.AIM)}, 1), '[{T.SPACE}]+$', '')"
+    before = rf"CASE WHEN contains(words, ' problem') THEN regexp_extract(words, {quote(M.BEFORE)}, 1) ELSE '' END"
+    junk = ", ".join(map(quote, L.PROBLEM_JUNK))
+    return f"""SELECT {key}, coalesce(nullif({problem("words")}, 'Unknown'), CASE WHEN aim <> '' AND aim NOT IN ({junk}) THEN {titled("aim")} END,
+      CASE WHEN before <> '' AND length(before) < 30 THEN {titled(strip("before"))} || ' Problem' END, 'Unknown') AS problem FROM (SELECT *, {aim} AS aim, {before} AS before FROM {source})"""
+
+
 def context() -> str:
     number = f"coalesce(nullif(regexp_extract(coalesce(caption_text, ''), {quote(CAPTION)}, 1), ''), (figure_idx + 1)::VARCHAR)"
     forms = [f"strpos(coalesce(page_text, ''), '{p}' || num)" for p in ("Fig. ", "Figure ", "FIG. ")]
@@ -155,12 +172,15 @@ def oracle_sql() -> dict[str, str]:
     cap = "lower(coalesce(caption_text, ''))"
     doc = "coalesce(text, '')"
     verdict = "coalesce(veto, CASE WHEN accepted THEN 'accepted' ELSE 'rejected' END)"
+    queue_id = r"trim(replace(lower(regexp_replace(coalesce(arxiv_id, ''), '^[ \t-\r]+|[ \t-\r]+$', '', 'g')), 'arxiv:', ''), ' ')"
+    texts = " || ' ' || ".join(cleaned(c) for c in ("caption_text", "figure_content_text", "referencing_context"))
+    last = lambda where: f"(SELECT paper, record_id FROM (SELECT arxiv_number AS paper, record_id, row_number() OVER (PARTITION BY arxiv_number ORDER BY mined_at DESC NULLS LAST, record_id DESC) AS k FROM mined_records WHERE filename IS NOT NULL AND arxiv_number IS NOT NULL AND {where}) WHERE k = 1)"
     title = f"coalesce(list_filter(list_transform(list_slice(string_split(coalesce(t, ''), chr(10)), 1, 6), lambda y: {strip('y')}), lambda x: length(x) > 5 AND NOT contains(lower(x), 'arxiv'))[1], '')"
     return {
         "densities": f"SELECT candidate_id, {numeric(low)} AS numeric, {prose(low)} AS prose, {math(low)} AS math FROM figure_candidates",
         "density_of_documents": f"SELECT doc_id, {numeric(doc, share=0.0)} AS numeric, {prose(doc)} AS prose, {math(doc)} AS math FROM documents",
         "strict_gate_count": f"SELECT candidate_id, {gates(chr(39).join(['coalesce(figure_content_text, ', '', ')']))} AS gates FROM figure_candidates",
-        "lexicon_hits": f"SELECT candidate_id, {any_of(cap, L.HARDWARE_VETO)} AS hardware, {count_of(cap, L.PLOT_EVAL)} AS plot_terms, {count_of(cap, L.CIRCUIT_WORDS)} AS circuit_terms FROM figure_candidates",
+        "lexicon_hits": f"SELECT candidate_id, {any_of(cap, L.HARDWARE_VETO)} AS hardware, {count_of(cap, L.PLOT_EVAL)} AS plot_terms, {count_of(cap, L.STATE_VIZ)} AS state_terms FROM figure_candidates",
         "bullet_veto": f"SELECT candidate_id, coalesce({any_of('figure_content_text', L.BULLETS)}, false) AS bullets FROM figure_candidates",
         "caption_blocks": f"SELECT block_key, coalesce(nullif(regexp_extract(text, {quote(CAPTION)}, 1), ''), '0') AS number FROM text_blocks WHERE regexp_matches(coalesce(text, ''), {quote(CAPTION)})",
         "veto_cascade": f"SELECT candidate_id, coalesce(veto, '') AS veto FROM {classified()}",
@@ -185,6 +205,18 @@ def oracle_sql() -> dict[str, str]:
         "cleaned_captions": f"SELECT candidate_id, {cleaned('caption_text')} AS cleaned FROM figure_candidates",
         "gate_names": f"SELECT candidate_id, {gate_list()} AS gates FROM ({FIG.format(p='0')})",
         "known_problems": f"SELECT candidate_id, {problem(cap)} AS problem FROM figure_candidates",
+        "mined_problems": problem_of(f"(SELECT candidate_id, lower(coalesce(title, '') || ' ' || t) AS words FROM (SELECT candidate_id, {PAPER} AS paper, {texts} AS t FROM figure_candidates) LEFT JOIN (SELECT paper, {title} AS title FROM (SELECT paper, arg_min(page_text, page_num) AS t FROM {PAGES} GROUP BY 1)) USING (paper))", "candidate_id"),
+        "problem_fallbacks": problem_of("(SELECT doc_id, lower(' ' || coalesce(text, '')) AS words FROM documents)", "doc_id"),
+        "figure_descriptions": f"SELECT candidate_id, concat_ws('|', nullif(c, ''), CASE WHEN x <> '' THEN 'Context: ' || x END) AS descriptions FROM (SELECT candidate_id, {cleaned('caption_text')} AS c, {cleaned('referencing_context')} AS x FROM figure_candidates)",
+        "positive_share": "SELECT candidate_id, round(exp(s - greatest(s, 0)) / (exp(0 - greatest(s, 0)) + exp(s - greatest(s, 0))), 9) AS p FROM (SELECT candidate_id, CASE WHEN NOT isnan(classification_score) THEN classification_score END AS s FROM figure_candidates)",
+        "upserted_records": f"SELECT * FROM {last('page_number % 2 <> 0')} UNION ALL SELECT * FROM {last('page_number % 2 = 0')} WHERE paper NOT IN (SELECT paper FROM {last('page_number % 2 <> 0')})",
+        "merged_counts": f"SELECT pos, paper, coalesce(found, fig_count) AS fig_count FROM {STATUS} LEFT JOIN (SELECT {PAPER} AS paper, count(*) FILTER (WHERE accepted) AS found FROM {classified()} GROUP BY 1) USING (paper)",
+        "paper_list_file": f"SELECT paper, count(*) AS listed FROM (SELECT {queue_id} AS paper FROM paper_queue WHERE trim(coalesce(arxiv_id, '')) <> '') GROUP BY 1",
+        "progress_file": f"SELECT paper, max(fig_count) AS fig_count FROM {STATUS} GROUP BY 1",
+        "labels_file": f"SELECT label, text, count(*) AS rows FROM {GOOD_LABELS} GROUP BY 1, 2",
+        "dataset_file": "SELECT filename, record_id, quantum_problem, page_number FROM mined_records",
+        "decision_loss": f"""SELECT n, round(loss, 6) AS loss FROM (SELECT count(*) AS n, -sum(CASE WHEN label = 1 THEN w * ln(q) ELSE ln(1 - q) END) / sum(CASE WHEN label = 1 THEN w ELSE 1 END) AS loss FROM (SELECT label, greatest(least({PROB}, 1 - 1e-7::DOUBLE), 1e-7::DOUBLE) AS q
+          FROM labels_merged_new JOIN figure_candidates USING (candidate_id) WHERE label IS NOT NULL AND NOT isnan(coalesce(bert_circuit_prob, 0))), (SELECT (count(*) - count(*) FILTER (WHERE label = 1)) / greatest(count(*) FILTER (WHERE label = 1), 1)::DOUBLE AS w FROM {GOOD_LABELS}))""",
         "image_names": f"SELECT candidate_id, 'quantph_' || replace(paper, '/', '') || '_p' || page_num || '_f' || figure_idx || '.png' AS filename FROM (SELECT *, {PAPER} AS paper FROM figure_candidates) WHERE paper IS NOT NULL",
         "model_texts": "SELECT candidate_id, replace(coalesce(caption_text, '') || ' ' || coalesce(referencing_context, ''), chr(10), ' ') AS text FROM figure_candidates",
         "latest_records": "SELECT filename, record_id FROM (SELECT *, row_number() OVER (PARTITION BY filename ORDER BY mined_at DESC NULLS LAST, record_id DESC) AS k FROM mined_records WHERE filename IS NOT NULL) WHERE k = 1",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from ..operators import mining as M
 from ..operators import predicates as P
 from ..operators.ml import Scorer, constant_scorer
 from ..session import paper, settle
+from ..sources.readers import render
 
 
 def with_paper(df: DataFrame) -> DataFrame:
@@ -21,13 +24,15 @@ def with_paper(df: DataFrame) -> DataFrame:
 def linked_figures(blocks: DataFrame, pages: DataFrame, width_mode: str = "compat") -> DataFrame:
     """caption_key, paper, page_num, figure_idx, box, kind, parts, caption, caption_box: drawings merged for each caption, padded and large enough.
 
-    blocks and pages have a column paper. Captions without any drawing give no row; figure_idx
-    counts them all the same.
+    blocks and pages have a column paper; pages may have rasters (an array of boxes), drawings
+    after the vector clusters. Captions without any drawing give no row; figure_idx counts them
+    all the same.
     """
     widths = G.page_widths(blocks, pages if width_mode == "declared" else None)
     captions = K.captions_of(blocks).select("paper", "page_num", "figure_idx", F.col("block_key").alias("caption_key"), F.col("bbox").alias("box"), F.col("text").alias("caption"))
     keep = pages.filter(P.has_content(F.col("page_text"), F.col("vector_clusters")))
-    linked = G.link_captions(captions.select("paper", "page_num", "caption_key", "box"), G.components_of(keep), widths)
+    rasters = "rasters" if "rasters" in pages.columns else None
+    linked = G.link_captions(captions.select("paper", "page_num", "caption_key", "box"), G.components_of(keep, rasters), widths)
     merged = G.merge_upwards(linked)
     full = merged.join(captions.withColumnRenamed("box", "caption_box"), "caption_key").join(widths, G.PAGE)
     return full.withColumn("box", P.pad_box(F.col("box"), F.col("width"))).filter(P.large_enough(F.col("box"))).drop("width")
@@ -58,10 +63,17 @@ def accepted_figures(candidates: DataFrame, scorer: Scorer | None = None) -> Dat
     return C.classify(scored, prob="p").filter("accepted")
 
 
-def run(blocks: DataFrame, pages: DataFrame, scorer: Scorer | None = None) -> DataFrame:
-    """The mined records of all accepted figures of the pages."""
+def run(blocks: DataFrame, pages: DataFrame, scorer: Scorer | None = None, renderer: Callable | None = None) -> DataFrame:
+    """The mined records of all accepted figures of the pages.
+
+    With a renderer (see sources.readers.render; the paper stands for its path) figures whose
+    image is missing or too small are dropped before they are classified.
+    """
     blocks, pages = with_paper(blocks), with_paper(pages)
+    found = described_figures(blocks, pages)
+    if renderer is not None:
+        found = render(found.withColumns({"path": F.col("arxiv_id"), "box": F.col("bbox")}), renderer).filter(P.enough_bytes(F.col("image_bytes"))).drop("path", "box", "image_bytes")
     # Kept once: a veto pushed below would repeat the search for each context in every rule.
-    figures = accepted_figures(settle(described_figures(blocks, pages)), scorer)
+    figures = accepted_figures(settle(found), scorer)
     named = figures.join(K.titles(pages).withColumnRenamed("paper", "arxiv_id"), "arxiv_id", "left")
     return M.mine(named, F.col("title"))

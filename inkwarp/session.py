@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,11 +24,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table as read, over all cores where its files make fewer parts than half of them; for stages that compute much a row."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def settle(df: DataFrame) -> DataFrame:
     """df computed once and kept in the shared checkpoint folder, its lineage cut.
 
     The folder is the session's spark.checkpoint.dir; only where that is unset, as in tests on
-    one machine, a temporary one is made.
+    one machine, a temporary one is made, which goes with the process.
     """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
@@ -35,6 +43,7 @@ def settle(df: DataFrame) -> DataFrame:
             if not context.master.startswith("local["):
                 raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
             where = tempfile.mkdtemp(prefix="inkwarp-")
+            atexit.register(shutil.rmtree, where, True)
         context.setCheckpointDir(where)
     return df.checkpoint()
 
@@ -58,4 +67,4 @@ def paper(arxiv_id: Column) -> Column:
     return F.when(found != "", found).when(low != "", low)
 
 
-__all__ = ["local_session", "paper", "settle", "small_side", "table"]
+__all__ = ["local_session", "paper", "settle", "small_side", "spread", "table"]

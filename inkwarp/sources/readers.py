@@ -30,8 +30,8 @@ def read_progress(spark: SparkSession, path: str) -> DataFrame:
     A count that is no number is an error. row keeps the order of the file, as the last row of
     a paper holds.
     """
-    raw = spark.read.csv(path, header=True, schema="paper string, c string, _bad string", mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", enforceSchema=True)
-    rows = raw.withColumn("row", F.monotonically_increasing_id()).cache()  # a corrupt column can't be read alone
+    raw = spark.read.option("columnPruning", "false").csv(path, header=True, schema="paper string, c string, _bad string", mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", enforceSchema=True)
+    rows = raw.withColumn("row", F.monotonically_increasing_id())
     ok = rows.filter(F.col("paper").isNotNull() & (F.col("_bad").isNull() | F.contains("_bad", F.lit(","))))
     return ok.select("paper", F.when(F.trim(F.coalesce("c", F.lit(""))) != "", F.trim("c").cast("int")).alias("fig_count"), "row")
 
@@ -42,6 +42,11 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("text", F.col("label").cast("double").cast("int").alias("label")).dropna()
 
 
+def read_dataset(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The records of a written data set, one JSON object a line."""
+    return spark.read.schema(schema).json(path)
+
+
 def cached_documents(spark: SparkSession, path: str) -> DataFrame:
     """(path, length, content) of the cached files that are not empty and begin like a document."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).filter((F.col("length") > 0) & (F.substring("content", 1, 4) == F.lit(MAGIC))).select("path", "length", "content")

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 
-def write_progress(status: DataFrame, path: str, one_file: bool = True) -> None:
-    """arxiv_id,count in queue order, each paper once, NULL as an empty field."""
+def write_progress(status: DataFrame, path: str, one_file: bool = False) -> None:
+    """arxiv_id,count in queue order, each paper once, NULL as an empty field; in one file, through one task, only if asked."""
     rows = status.groupBy("paper").agg(F.min("pos").alias("pos"), F.max("fig_count").alias("count"))
     rows = rows.orderBy("pos") if not one_file else rows.repartition(1).sortWithinPartitions("pos")
     rows.select(F.col("paper").alias("arxiv_id"), "count").write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue="")

@@ -16,6 +16,7 @@ from inkwarp.operators import mining as M
 from inkwarp.operators import ml
 from inkwarp.operators import predicates as P
 from inkwarp.operators import state as S
+from inkwarp.plans import pipeline
 from inkwarp.session import paper
 from inkwarp.sources import readers, writers
 
@@ -65,12 +66,53 @@ def test_clean(spark, raw, want):
 def test_mining(spark):
     row = [("Fig. 1. Quantum circuit for Grover search", "H X CNOT |0>", "")]
     df = spark.createDataFrame(row, "c string, i string, x string")
-    assert df.select(M.gates_of(F.col("i"), F.concat_ws(" ", "c", "i"))).first()[0] == ["Basis State", "CNOT", "Hadamard", "Pauli-X"]
-    both = spark.createDataFrame([("controlled-not", "")], "c string, i string").select(M.gates_of(F.col("i"), F.col("c"))).first()[0]
-    assert both == ["Controlled-NOT", "controlled-NOT"]
+    assert M.with_gates(df, F.col("i"), F.concat_ws(" ", "c", "i")).first()["gates"] == ["Basis State", "CNOT", "Hadamard", "Pauli-X"]
+    both = M.with_gates(spark.createDataFrame([("controlled-not", ""), (None, None)], "c string, i string"), F.col("i"), F.col("c")).collect()
+    assert [r["gates"] for r in both] == [["Controlled-NOT", "controlled-NOT"], []]
     cases = [("A short note", "", "Shor"), ("", "circuit for multi-qubit parity checks on chips", "Multi-Qubit Parity Checks On"), ("", "solving the hidden subgroup problem", "Solving The Hidden Subgroup Problem"), ("", "nothing here", "Unknown"), (None, None, "Unknown")]
-    got = spark.createDataFrame(cases, "title string, t string, want string").select(M.problem_of(F.col("t"), F.col("title")), "want").collect()
-    assert all(r[0] == r[1] for r in got), got
+    got = M.with_problem(spark.createDataFrame(cases, "title string, t string, want string"), F.col("t"), F.col("title")).collect()
+    assert all(r["problem"] == r["want"] for r in got), got
+
+
+def test_title_case_and_two_decimals_like_python(spark):
+    texts = ["multi-qubit parity", "3d maps", "don't", "über öl", "a_b c", "", "x" * 3000]
+    assert [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(T.title_case(F.col("t"))).collect()] == [t.title() for t in texts]
+    numbers = [i / 1000 for i in range(1001)] + [i / 8 for i in range(8)] + [float(x) for x in np.random.default_rng(1).random(500)]
+    assert [r[0] for r in spark.createDataFrame([(x,) for x in numbers], "p double").select(C.two_decimals(F.col("p"))).collect()] == [f"{x:.2f}" for x in numbers]
+
+
+def test_reasons(spark):
+    cases = [
+        ("Fig. 1. Quantum circuit for Grover search", "H X CNOT |0⟩", 0.9, ["GatesIn:3", "StrongCircuitKW", "BERTStrong:0.90"]),
+        ("Figure 8: circuit diagram", "", 0.125, ["StrongCircuitKW", "BERTNegative:0.12"]), ("Figure 8: circuit diagram", "", 0.22, ["StrongCircuitKW", "HighKeywordScore_But_VisualsFail"]),
+        ("Figure 9: schematic", "H", 0.30, ["GatesIn:1", "WeakDiagramKW", "Score2_But_BERT_Low"]), ("Figure 10", "H", 0.35, ["GatesIn:1", "LonelyGate_RejectedByBERT"]),
+        ("Figure 10", "H", 0.45, ["GatesIn:1", "BERTWeak:0.45", "Score2"]), ("Figure 13", "x", 0.36, ["GatesIn:1", "LonelyGate_ConfirmedByBERT"]),
+        ("Figure 11: accuracy per qubit", "", 0.93, ["BERTStrong:0.93", "PlotEvalKW", "QubitsNoGates", "BERT_Rescue"]), ("Figure 2: polytope and simplex", "", 0.7, ["BERTMedium:0.70", "StateViz:2"]),
+        ("Figure 4", "0 1 2 3 a", 0.9, ["HardVeto:NumericDensity(Plot/Table)"]),
+    ]
+    df = spark.createDataFrame([(i, c, t, None, p) for i, (c, t, p, _) in enumerate(cases)], "i int, caption_text string, figure_content_text string, referencing_context string, bert_circuit_prob double")
+    for r in C.classify(df).collect():
+        assert r["reasons"] == [x for x in cases[r["i"]][3] if x != "Score2"], r
+
+
+def test_upsert_last_wins(spark):
+    make = lambda rows: spark.createDataFrame(rows, "filename string, n int, at int")
+    got = M.upsert(make([("a", 1, 9), ("b", 2, 1)]), make([("b", 3, 1), ("b", 4, 2), ("b", 5, None), ("c", 6, 1), (None, 7, 1)]), ["at", "n"])
+    assert sorted((r["filename"], r["n"]) for r in got.collect()) == [("a", 1), ("b", 4), ("c", 6)]
+    assert M.upsert(make([("a", 1, 9)]), make([]), ["at"]).count() == 1
+
+
+def test_pipeline_with_rasters_and_renderer(spark):
+    blocks = spark.createDataFrame([("2001.00001", 1, i, i, (50.0, y, 300.0, y + 10), t) for i, (y, t) in enumerate([(20.0, "A title of some length"), (400.0, "Fig. 1. Quantum circuit for Grover search"), (250.0, "H X CNOT |0⟩")])],
+                                   f"arxiv_id string, page_num int, block_id int, block_key long, bbox {G.BOX}, text string")
+    pages = spark.createDataFrame([("2001.00001", 1, "text", [], [(60.0, 200.0, 290.0, 380.0)])], f"arxiv_id string, page_num int, page_text string, vector_clusters array<{G.BOX}>, rasters array<{G.BOX}>")
+    got = pipeline.run(blocks, pages).collect()
+    assert len(got) == 1 and got[0]["quantum_problem"] == "Grover" and "CNOT" in got[0]["quantum_gates"]
+    assert pipeline.run(blocks, pages.drop("rasters")).count() == 0
+    for size, n in ((3000, 1), (10, 0)):
+        assert pipeline.run(blocks, pages, renderer=lambda path, page, box, zoom, size=size: b"x" * size).count() == n
+    titled = pages.withColumns({"paper": F.col("arxiv_id"), "title": F.lit("Own title")})
+    assert K.titles(titled).first()["title"] == "Own title"
 
 
 def test_boxes_and_names(spark):
@@ -151,13 +193,27 @@ def test_split_weights_metrics(spark):
     assert scored[0]["p"] > 0.5 > scored[1]["p"]
 
 
+def test_saved_scorer_and_loss(spark, tmp_path):
+    text = spark.createDataFrame([("good circuit", 1), ("bad plot", 0)] * 20, "text string, label int")
+    model, new = ml.train_scorer(text, 256, 5), spark.createDataFrame([("good circuit",), (None,)], "c string")
+    writers.save_model(model, str(tmp_path / "model"))
+    ask = lambda s: [r["p"] for r in s(new, F.col("c")).collect()]
+    assert ask(ml.load_scorer(str(tmp_path / "model"))) == ask(ml.model_scorer(model))
+    assert ask(ml.load_scorer(str(tmp_path / "none"))) == [0.0, 0.0]
+    rows = spark.createDataFrame([(1, 0.5), (0, 0.25), (None, 0.5), (1, None), (0, float("nan")), (1, 0.0)], "label int, p double")
+    got = ml.mean_loss(rows, F.col("label"), F.col("p"), 3.0).first()
+    want = (3 * -np.log(0.5) - np.log(0.75) + 3 * -np.log(1e-7)) / 7
+    assert got["n"] == 3 and abs(got["loss"] - want) < 1e-9
+    assert ml.mean_loss(rows.limit(0), F.col("label"), F.col("p")).first()["n"] == 0
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "list.txt").write_text("arXiv:2403.00001\n\n 2403.00002 \n")
     queue = readers.read_paper_list(spark, str(tmp_path / "list.txt"))
     assert [r["paper"] for r in queue.orderBy("pos").collect()] == ["2403.00001", "2403.00002"]
     (tmp_path / "p.csv").write_text("arxiv_id,count\n2403.00001,4\n2403.00002,\n")
     assert {r["paper"]: r["fig_count"] for r in readers.read_progress(spark, str(tmp_path / "p.csv")).collect()} == {"2403.00001": 4, "2403.00002": None}
-    writers.write_progress(spark.createDataFrame([(0, "a", 3), (1, "b", None)], "pos long, paper string, fig_count int"), str(tmp_path / "out"))
+    writers.write_progress(spark.createDataFrame([(0, "a", 3), (1, "b", None)], "pos long, paper string, fig_count int"), str(tmp_path / "out"), one_file=True)
     text = "".join(f.read_text() for f in (tmp_path / "out").glob("*.csv"))
     assert text.split() == ["arxiv_id,count", "a,3", "b,"]
     n = writers.write_images(spark.createDataFrame([("a.png", bytearray(b"x")), ("b.png", None)], "filename string, image_bytes binary"), str(tmp_path / "img"))
