@@ -119,4 +119,10 @@ def oracle_sql() -> dict[str, str]:
               SELECT candidate_id, row_number() OVER (PARTITION BY paper ORDER BY {low.format("classification_score")}, {low.format("bert_circuit_prob")}, candidate_id) AS place
               FROM (SELECT *, {_PAPER} AS paper FROM figure_candidates) WHERE paper IS NOT NULL
             ) WHERE place > 10""",
+        "p2_share": f"""
+            WITH f AS (SELECT *, {_PAPER} AS paper FROM figure_candidates), n AS (SELECT count(*) AS n FROM f WHERE paper IS NOT NULL GROUP BY paper),
+              c AS (SELECT coalesce(max(c), 0) AS cap FROM (SELECT c, sum(least(n, c)) AS kept FROM n, (SELECT unnest(range(1, (SELECT max(n) + 1 FROM n))) AS c) GROUP BY c) WHERE c <= 0.02::DOUBLE * kept)
+            SELECT candidate_id FROM (
+              SELECT candidate_id, row_number() OVER (PARTITION BY paper ORDER BY {low.format("classification_score")}, {low.format("bert_circuit_prob")}, candidate_id) AS place FROM f WHERE paper IS NOT NULL
+            ), c WHERE place > cap""",
     }
