@@ -403,5 +403,57 @@ def test_logistic_and_sentences():
     a = np.array([[1.0, x] for x in np.linspace(-2, 2, 40)])
     w = subjects._logistic(a, (a[:, 1] > 0).astype(float))
     assert w[1] > 1
-    assert subjects.sentences("One two. <b>x</b>\nThree four five!") == [["one", "two", "one two"], ["three", "four", "five", "three four", "four five"]]
-    assert isinstance(pd.Series([1]), pd.Series)
+    texts = ["One two. <b>x</b>\nThree four five!", None, "", "alone. two\x1ewords", "Is this\nit? yes no"]
+    words, sizes, per = subjects.words_of(texts, subjects._Hashes())
+    assert sizes.tolist() == [2, 3, 2, 2, 2] and per.tolist() == [2, 0, 0, 1, 2] and len(words) == 11
+    both, sentence = subjects.with_pairs(words, sizes)
+    assert len(both) == 11 + 6 and len(set(both.tolist())) == 16 and np.bincount(sentence).tolist() == [3, 5, 3, 3, 3]
+
+
+def test_reading_keeps_every_known_term(spark):
+    """Encoded documents hold what a plain reading of them does."""
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["ab", "cd.", "ef", "gh\n", "ij", f"rare{i}"]) for _ in range(rng.randint(0, 40))) for i in range(120)]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)] + [(999, None, "x")], "doc_id long, text string, source string")
+    docs, size = subjects.read(df)
+    got = {}
+    for r in docs.toArrow().to_batches():
+        d = subjects.Docs(r)
+        at = np.concatenate(([0], np.cumsum(d.sentences)))
+        for i, key in enumerate(r.column("doc_id").to_pylist()):
+            got[key] = [sorted(d.word[d.sentence == s].tolist()) for s in range(at[i], at[i + 1])]
+    plain, uses = {}, {}
+    import re
+
+    for i, t in enumerate(texts):
+        plain[i] = []
+        for s in re.split(r"(?<=[.!?])\s+|\n+", t):
+            w = re.findall(r"[^\W\d_]+", s.lower())
+            if len(w) > 1:
+                both = w + list(zip(w, w[1:], strict=False))
+                plain[i].append(set(both))
+                for f in both:
+                    uses[f] = uses.get(f, 0) + 1
+    known = {f for f, n in uses.items() if n >= subjects.USES}
+    assert size == len(known)
+    assert {i: [len(s & known) for s in x] for i, x in plain.items() if texts[i]} == {i: [len(s) for s in x] for i, x in got.items()}
+
+
+def test_beam_search_finds_the_best_combination():
+    rng = np.random.default_rng(4)
+    k = 5
+    m = subjects.Model(subjects.Terms(np.zeros(0, int), np.zeros(0), k), np.zeros(0), 1.0, np.full(k, 0.2))
+    m.weights, m.lift, m.order = rng.normal(0, 1, (k, subjects.FEATURES + 4)), rng.normal(0, 0.2, (k, k)), [3, 0, 4, 1, 2]
+    x = rng.normal(0, 1, (6, k, subjects.FEATURES))
+    best, p = m.decode(x)
+    for d in range(6):
+        def total(y, d=d):
+            before, score = np.zeros(k, bool), 0.0
+            for j in m.order:
+                t = m.logit(x[d], j, before)
+                score -= np.logaddexp(0, -t if y[j] else t)
+                before[j] = y[j]
+            return score
+        every = [np.array([i >> j & 1 for j in range(k)], bool) for i in range(2**k)]
+        assert total(best[d]) >= max(map(total, every)) - 0.05
+    assert ((p > 0) & (p < 1)).all()
