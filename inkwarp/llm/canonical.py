@@ -23,7 +23,7 @@ from ..session import settle
 from .glyphs import unify_list
 
 SIMILARITY = 0.25
-AFFIX_WORDS = 4
+SPARE = 2  # words that a core may have beyond the longest entry, as a misspelling may part words
 AFFIX_ENTRIES = 3
 
 
@@ -116,40 +116,55 @@ def similar_forms(left: DataFrame, right: DataFrame, t: float = SIMILARITY) -> D
     return pairs.join(ts[0], ["kind", "l"]).join(ts[1], ["kind", "r"]).withColumn("jaccard", both / (F.col("nl") + F.col("nr") - both)).filter(F.col("jaccard") >= t).select("kind", "l", "r", "jaccard")
 
 
-def _splits(words: Column) -> Column:
-    """(affix, core) for every way to take words off both ends, up to AFFIX_WORDS at each."""
+def _splits(words: Column, longest: int) -> Column:
+    """(at, size, affix, plain, core) for every run of at most so many words as the core: the hash of what stands before and after it, and whether that is nothing."""
     n = F.size(words)
-    ends = F.sequence(F.lit(0), F.least(n - 1, F.lit(AFFIX_WORDS)))
-    cut = F.flatten(F.transform(ends, lambda i: F.transform(F.sequence(F.lit(0), F.least(n - 1 - i, F.lit(AFFIX_WORDS))), lambda j: F.struct(i.alias("i"), j.alias("j")))))
     part = lambda lo, k: F.array_join(F.slice(words, lo, k), " ")
-    return F.transform(cut, lambda c: F.struct(F.concat(part(F.lit(1), c["i"]), F.lit("|"), part(n - c["j"] + 1, c["j"])).alias("affix"), part(c["i"] + 1, n - c["i"] - c["j"]).alias("core")))
+    begins = F.sequence(F.lit(1), n)
+    sizes = lambda i: F.sequence(F.lit(1), F.least(n - i + 1, F.lit(longest)))
+    cut = F.flatten(F.transform(begins, lambda i: F.transform(sizes(i), lambda k: F.struct(i.alias("i"), k.alias("k")))))
+    rest = lambda c: F.concat(part(F.lit(1), c["i"] - 1), F.lit("|"), part(c["i"] + c["k"], n - c["i"] - c["k"] + 1))
+    runs = F.transform(cut, lambda c: F.struct(c["i"].alias("at"), c["k"].alias("size"), F.xxhash64(rest(c)).alias("affix"), (c["k"] == n).alias("plain"), part(c["i"], c["k"]).alias("core")))
+    # A longer value is its own core too; it can't be an entry, but has a row.
+    return F.when(n <= longest, runs).otherwise(F.concat(runs, F.array(F.struct(F.lit(1).alias("at"), n.alias("size"), F.xxhash64(F.lit("|")).alias("affix"), F.lit(True).alias("plain"), F.array_join(words, " ").alias("core")))))
 
 
 def map_to_reference(values: DataFrame, reference: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(kind, value, ref_id, edits, jaccard) for each distinct (kind, value); ref_id -1: it means no entry.
 
     reference: ref_id, kind, term, aliases; NULL or empty aliases add nothing. NULL and blank
-    values give no row. Where two entries fit equally well, the one reached without taking
-    words off, then the smaller ref_id is taken. With an empty reference every value is -1.
+    values give no row. Words are taken off a value if what stands around its core decorates
+    AFFIX_ENTRIES entries at least, or, if nothing else fits, if the core is exactly an entry and
+    none of the others is a word of any. Where two entries fit equally well, the one reached without taking words
+    off, then the smaller ref_id is taken. With an empty reference every value is -1.
     """
     forms = F.pandas_udf(_forms, "array<string>")
-    distinct = settle(values.select("kind", "value").filter(F.col("value").isNotNull() & F.col("value").rlike(r"[^\s\p{Z}]")).distinct())
-    mine = distinct.select("kind", "value", F.explode(forms("value")).alias("form"))
+    distinct = settle(values.select("kind", "value").filter(F.col("value").isNotNull() & F.col("value").rlike(r"[^\s\p{Z}]")).distinct().withColumn("vid", F.md5("value")))
+    mine = settle(distinct.select("kind", "vid", F.explode(forms("value")).alias("form")).withColumn("fid", F.xxhash64("form")))
     listed = settle(
         reference.select("ref_id", "kind", F.explode(F.array_union(F.array("term"), F.coalesce("aliases", F.expr("array()")))).alias("name"))
         .filter(F.col("name").isNotNull()).select("ref_id", "kind", F.explode(forms("name")).alias("form"))
         .groupBy("kind", "form").agg(F.min("ref_id").alias("ref_id")).filter(F.col("form") != "")
     )
     solid = F.replace(F.col("form"), F.lit(" "), F.lit(""))
-    split = settle(mine.select("kind", "value", F.explode(_splits(F.split("form", " "))).alias("s")).select("kind", "value", "s.affix", F.col("s.core").alias("form")))
+    longest = (listed.agg(F.max(F.size(F.split("form", " ")))).first()[0] or 0) + SPARE
+    split = settle(mine.select("kind", "vid", "fid", F.explode(_splits(F.split("form", " "), longest)).alias("s")).select("kind", "vid", "fid", "s.*").withColumnRenamed("core", "form"))
     known = listed.select("kind", solid.alias("solid"), "ref_id").distinct()
-    plain = F.col("affix") == "|"
-    hits = split.withColumn("solid", solid).join(known, ["kind", "solid"])
-    exact = hits.filter(plain).select("kind", "value").distinct()
-    affixes = hits.filter(~plain).join(exact, ["kind", "value"], "left_anti").groupBy("kind", "affix").agg(F.count_distinct("ref_id").alias("n")).filter(F.col("n") >= AFFIX_ENTRIES).select("kind", "affix")
-    cores = split.filter(plain).withColumn("taken", F.lit(0)).unionByName(split.filter(~plain).join(affixes, ["kind", "affix"]).withColumn("taken", F.lit(1)))
+    word = settle(listed.select("kind", F.explode(F.split("form", " ")).alias("word")).distinct())
+    plain = F.col("plain")
+    hits = settle(split.withColumn("solid", solid).join(known, ["kind", "solid"]))
+    exact = hits.filter(plain).select("kind", "vid").distinct()
+    inside = hits.filter(~plain).join(exact, ["kind", "vid"], "left_anti")
+    affixes = inside.groupBy("kind", "affix").agg(F.count_distinct("ref_id").alias("n")).filter(F.col("n") >= AFFIX_ENTRIES).select("kind", "affix")
+    # An entry among words that belong to none.
+    words = F.split("whole", " ")
+    rest = F.concat(F.slice(words, F.lit(1), F.col("at") - 1), F.slice(words, F.col("at") + F.col("size"), F.size(words)))
+    around = inside.join(mine.withColumnRenamed("form", "whole"), ["kind", "vid", "fid"]).select("kind", "vid", "fid", "at", "size", F.explode(rest).alias("word"))
+    claimed = around.join(word, ["kind", "word"], "left_semi").select("kind", "vid", "fid", "at", "size").distinct()
+    free = inside.join(claimed, ["kind", "vid", "fid", "at", "size"], "left_anti")
+    core = lambda df, taken: df.select("kind", "vid", "form", F.lit(taken).alias("taken"))
+    cores = core(split.filter(plain), 0).unionByName(core(split.filter(~plain).join(affixes, ["kind", "affix"]), 1)).unionByName(core(free, 2))
     # A shortened word stands for every word of the reference list that begins with it.
-    word = listed.select("kind", F.explode(F.split("form", " ")).alias("word")).distinct()
     stems = word.select("kind", "word", F.explode(F.transform(F.sequence(F.lit(2), F.greatest(F.lit(2), F.length("word") - 1)), lambda k: F.substring("word", F.lit(1), k))).alias("stem")).distinct()
     short = cores.withColumn("stem", F.regexp_extract("form", r"([^\s.]+)\.", 1))
     longer = short.filter(F.col("stem") != "").join(stems, ["kind", "stem"]).withColumn("form", F.replace(F.col("form"), F.concat("stem", F.lit(".")), F.col("word")))
@@ -161,9 +176,9 @@ def map_to_reference(values: DataFrame, reference: DataFrame, similarity: float
     room = F.when(F.col("room") < 5, 0).when(F.col("room") < 6, 1).when(F.col("room") < 16, 2).otherwise(3)
     good = checked.filter(F.col("edits") <= room).join(listed.withColumnRenamed("form", "r"), ["kind", "r"])
     # Of the forms that have the same edits the longer name fits better: its edits weigh less.
-    order = F.struct((F.col("edits") / F.greatest(F.length(bare("r")), F.lit(1))).alias("share"), "taken", (-F.col("jaccard")).alias("far"), "ref_id", "edits")
-    best = cores.withColumnRenamed("form", "l").join(good, ["kind", "l"]).groupBy("kind", "value").agg(F.min(order).alias("best"))
-    return distinct.join(best, ["kind", "value"], "left").select(
+    order = F.struct((F.col("taken") == 2).alias("last"), (F.col("edits") / F.greatest(F.length(bare("r")), F.lit(1))).alias("share"), "taken", (-F.col("jaccard")).alias("far"), "ref_id", "edits")
+    best = cores.withColumnRenamed("form", "l").join(good, ["kind", "l"]).groupBy("kind", "vid").agg(F.min(order).alias("best"))
+    return distinct.join(best, ["kind", "vid"], "left").select(
         "kind", "value", F.coalesce("best.ref_id", F.lit(-1)).cast("int").alias("ref_id"), F.col("best.edits").alias("edits"), (-F.col("best.far")).alias("jaccard")
     )
 

@@ -93,6 +93,14 @@ def test_canonical(spark):
     assert {r["ref_id"] for r in canonical.map_to_reference(df, ref.limit(0)).collect()} == {-1}
 
 
+def test_canonical_additions(spark):
+    """Additions of any length come off, rare ones where what is left is exactly an entry; a closer entry goes first."""
+    ref = spark.createDataFrame([(1, "gate", "SWAP", []), (2, "gate", "Fermionic Swap", []), (3, "gate", "Phase Shift", [])], "ref_id int, kind string, term string, aliases array<string>")
+    want = {"one very long and rambling introduction to the phase shift in seven acts": 3, "Phase Shift (2 qubits)": 3, "Ferminoic Swap": 2, "phase box": -1, "swap of the phase": -1, "word " * 400 + "swap": 1, "word " * 400: -1}
+    got = {r["value"]: r["ref_id"] for r in canonical.map_to_reference(spark.createDataFrame([("gate", v) for v in want], "kind string, value string"), ref).collect()}
+    assert got == want
+
+
 def test_similar_forms_brute_force(spark):
     rng = random.Random(2)
     words = ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 9))) for _ in range(120)]
