@@ -21,7 +21,7 @@ from ..session import settle
 
 CAPACITY = 4096
 BUCKETS = 16
-SALTS = 64
+RANKED = 250_000  # items of one length that one task ranks, about
 
 
 def bucket_bounds(counts: np.ndarray, buckets: int = BUCKETS) -> list[int]:
@@ -108,12 +108,13 @@ def pack(items: DataFrame, key: str, tokens: Column, capacity: int = CAPACITY, b
     base = items.select(F.col(f"`{key}`").alias("key"), tokens.cast("long").alias("n")).filter("n > 0")
     cut = base.select("key", "n", F.ceil(F.col("n") / capacity).cast("int").alias("parts"))
     part = cut.select("key", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "n").withColumn("tokens", F.least(F.lit(capacity), F.col("n") - F.col("part").cast("long") * capacity).cast("int")).drop("n")
-    salt = F.pmod(F.xxhash64("key", "part"), F.lit(SALTS)).cast("int")
-    rows = settle(part.withColumn("salt", salt))
-    grouped = settle(rows.groupBy("tokens", "salt").agg(F.count("*").alias("c")))
+    rows = settle(part)
     counts = np.zeros(capacity + 1, np.int64)
-    for r in grouped.groupBy("tokens").agg(F.sum("c").alias("c")).collect():  # capacity rows at most
+    for r in rows.groupBy("tokens").agg(F.count("*").alias("c")).collect():  # capacity rows at most
         counts[r["tokens"]] = r["c"]
+    # A frequent length is ranked in as many parts as it needs.
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("key", "part"), F.lit(1 + int(counts.max(initial=0)) // RANKED)).cast("int"))
+    grouped = rows.groupBy("tokens", "salt").agg(F.count("*").alias("c"))
     bounds = bucket_bounds(counts, buckets)
     runs, _ = plan(counts, capacity, bounds)
     spark = items.sparkSession
