@@ -1,7 +1,8 @@
 """The queries of the engine's own operators, each over its whole tables, and their SQL.
 
-No SQL is given where it can't say the same: Unicode NFKC and title case (mined_records_full,
-clean_text_full), box closure (box_clusters), and trained models (scorer_probability).
+No SQL is given where it can't say the same: Unicode NFKC (mined_records_full, mined_pipeline,
+clean_text_full) and trained models (scorer_probability). What these do besides has SQL under
+other names: cleaned_captions, gate_names, mined_problems, figure_descriptions.
 """
 
 from __future__ import annotations

@@ -103,6 +103,7 @@ PAGES = f"(SELECT *, {PAPER} AS paper FROM paper_pages)"
 WIDTHS = f"(SELECT paper, page_num, coalesce(max(bbox.x1) + 50, 612.0) AS width FROM {BLOCKS} GROUP BY 1, 2)"
 CAPTIONS = f"(SELECT paper, page_num, block_key AS caption_key, bbox AS cb, row_number() OVER (PARTITION BY paper, page_num ORDER BY block_id, block_key) - 1 AS figure_idx FROM {BLOCKS} WHERE regexp_matches(coalesce(text, ''), {quote(CAPTION)}))"
 DRAWINGS = f"(SELECT paper, page_num, vector_clusters[i] AS box, i - 1 AS pos FROM (SELECT *, unnest(range(1, len(vector_clusters) + 1)) AS i FROM {PAGES}))"
+TURNS = 8  # by then nothing changes any more on these pages; a box takes in the boxes of all it meets each turn
 LINKED = f"""(WITH c AS (SELECT *, (cb.x1 - cb.x0) > 0.6::DOUBLE * width AS wide, (cb.x0 + cb.x1) / 2 < width / 2 AS lft FROM {CAPTIONS} JOIN {WIDTHS} USING (paper, page_num)),
   j AS (SELECT caption_key, figure_idx, pos, box, cb, width, box.x1 > (CASE WHEN wide OR lft THEN 0.0 ELSE 0.35::DOUBLE * width END) AND box.x0 < (CASE WHEN wide OR NOT lft THEN width ELSE 0.65::DOUBLE * width END) AS inside
         FROM c JOIN {DRAWINGS} USING (paper, page_num) WHERE box.y1 <= cb.y0 AND box.x1 > 0 AND box.x0 < width)
@@ -195,6 +196,11 @@ def oracle_sql() -> dict[str, str]:
         "caption_drawings": f"SELECT caption_key, pos FROM {LINKED}",
         "merged_drawings": f"SELECT caption_key, x0, y0, x1, y1, parts FROM {MERGED}",
         "pipeline_figures": f"""SELECT * FROM (SELECT caption_key, figure_idx, greatest(0.0::DOUBLE, x0 - 45) AS x0, greatest(0.0::DOUBLE, y0 - 15) AS y0, least(width, x1 + 10) AS x1, y1 + 10 AS y1, parts FROM {MERGED}) WHERE x1 - x0 >= 100 AND y1 - y0 >= 100""",
+        "box_clusters": f"""WITH RECURSIVE b AS (SELECT paper, page_num, row_number() OVER () AS id, box.x0 AS x0, box.y0 AS y0, box.x1 AS x1, box.y1 AS y1 FROM {DRAWINGS} WHERE box.x1 > box.x0 OR box.y1 > box.y0),
+          g AS (SELECT *, 0 AS turn FROM b UNION ALL
+                SELECT a.paper, a.page_num, a.id, min(o.x0), min(o.y0), max(o.x1), max(o.y1), a.turn + 1 FROM g a JOIN g o ON a.paper = o.paper AND a.page_num = o.page_num AND a.x0 - 15 < o.x1 AND o.x0 < a.x1 + 15 AND a.y0 - 15 < o.y1 AND o.y0 < a.y1 + 15
+                WHERE a.turn < {TURNS} GROUP BY a.paper, a.page_num, a.id, a.turn)
+          SELECT DISTINCT paper, page_num, x0, y0, x1, y1 FROM g WHERE turn = {TURNS}""",
         "inside_texts": f"""SELECT candidate_id, string_agg(coalesce(text, ''), ' ' ORDER BY block_id, block_key) AS inside_text FROM (SELECT candidate_id, {PAPER} AS paper, page_num, bbox AS box FROM figure_candidates) f JOIN {BLOCKS} b USING (paper, page_num)
           WHERE (bbox.x0 + bbox.x1) / 2 BETWEEN box.x0 AND box.x1 AND (bbox.y0 + bbox.y1) / 2 BETWEEN box.y0 AND box.y1 GROUP BY candidate_id""",
         "page_texts": f"SELECT paper, page_num, coalesce(string_agg(t, chr(10) || chr(10) ORDER BY block_id, block_key) FILTER (WHERE t <> ''), '') AS page_text, count(*) AS n_blocks FROM (SELECT *, {strip(doc)} AS t FROM {BLOCKS}) GROUP BY 1, 2",
