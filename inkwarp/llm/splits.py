@@ -65,20 +65,32 @@ def _words(lines: list[str]) -> tuple[list[str], list[bool]]:
     return words[skip:], starts[skip:]
 
 
-def _may_be_header(lines: list[str], i: int, flat: bool) -> bool:
+def _set_apart(lines: list[str]) -> list[bool]:
+    """Of each line whether it is not one that wrapping made: it is wider than all others, or the next word would still have fitted."""
+    width = [len(x.rstrip()) for x in lines]
+    top = sorted(width)[-2:]
+    out = []
+    for i, n in enumerate(width):
+        wide = top[0] if n == top[-1] else top[-1]
+        out.append(n > wide or i + 1 == len(lines) or n + 1 + len((lines[i + 1].split(None, 1) or [""])[0]) <= wide)
+    return out
+
+
+def _may_be_header(lines: list[str], i: int, apart: list[bool] | None) -> bool:
     """Whether the text may go on without line i: it begins like a heading, doesn't end like a part of a sentence,
-    and the next line doesn't go on with a sentence that the line has begun. In a text without capitals any line may.
+    and the next line doesn't go on with a sentence that the line has begun. In a text without capitals, which
+    shows no heading, it may be any line that is set apart.
     """
     line = lines[i].strip()
     if line[-1:] in ".,;:-¬":
         return False
-    if flat:
-        return True
+    if apart:
+        return apart[i]
     open_ = i + 1 == len(lines) or lines[i - 1].rstrip()[-1:] not in ".;:!?" or not lines[i + 1].lstrip()[:1].islower()
     return open_ and bool(_HEADING.match(line))
 
 
-def forms(text: str) -> list[tuple[list[str], bool]]:
+def forms(text: str) -> Iterator[tuple[list[str], bool]]:
     """(words, whole) of a unified text: as it is first, without each line that may be a header, and all these
     without a closing remark (whole is then false). Lines that are page numbers alone never count, but
     for a bare number at the end, which may also be the text's last word.
@@ -86,16 +98,17 @@ def forms(text: str) -> list[tuple[list[str], bool]]:
     lines = text.split("\n")
     lines = [x for i, x in enumerate(lines) if i == 0 or not _FOLIO.fullmatch(x) or i == len(lines) - 1 and _BARE.fullmatch(x)]
     flat = not any(c.isupper() for c in text)
-    out = []
+    apart = _set_apart(lines) if flat else None
     for i in range(len(lines)):
-        if i and not _may_be_header(lines, i, flat) and not (i == len(lines) - 1 and _BARE.fullmatch(lines[i])):
+        if i and not _may_be_header(lines, i, apart) and not (i == len(lines) - 1 and _BARE.fullmatch(lines[i])):
             continue
         words, starts = _words(lines if i == 0 else lines[:i] + lines[i + 1 :])
         if not words:
             continue
-        out.append((words, True))
-        out += [(words[:k], False) for k in range(max(len(words) - REMARK, (len(words) + 1) // 2), len(words)) if starts[k] or flat]
-    return out
+        yield words, True
+        for k in range(max(len(words) - REMARK, (len(words) + 1) // 2), len(words)):
+            if starts[k] or flat:
+                yield words[:k], False
 
 
 # --- which parts of a text agree ---
@@ -140,13 +153,18 @@ _KEYS = "w string, whole boolean, path string, key long, proof boolean"
 
 
 def _all_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = {"rid": pa.string(), "words": pa.string(), "whole": pa.bool_(), "first": pa.bool_()}
+    batch = lambda rows: pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)] if rows else [pa.array([], k) for k in kinds.values()], list(kinds))
     for b in batches:
-        out: dict[str, list] = {"rid": [], "words": [], "whole": [], "first": []}
+        rows, size = [], 0
         for rid, text in zip(b.column("rid").to_pylist(), unify_arrow(b.column("raw"))[0].to_pylist(), strict=True):
             for i, (words, whole) in enumerate(forms(text)):
-                for name, x in zip(out, (rid, " ".join(words), whole, i == 0), strict=True):
-                    out[name].append(x)
-        yield pa.record_batch([pa.array(out["rid"], pa.string()), pa.array(out["words"], pa.string()), pa.array(out["whole"], pa.bool_()), pa.array(out["first"], pa.bool_())], list(out))
+                rows.append((rid, " ".join(words), whole, i == 0))
+                size += len(rows[-1][1])
+                if size > 20_000_000:  # the forms of very long texts don't wait for each other
+                    yield batch(rows)
+                    rows, size = [], 0
+        yield batch(rows)
 
 
 def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -187,7 +187,9 @@ def test_damaged_words_and_lines_do_not_count(spark):
     assert _same(base, "the quick register folds into nine\nPage 7\ncopies of a box and waits in thc fraine".replace("fraine", "frarne"))
     assert _same("Wiring of the box\nand waits in the frame", "Wiring of the box\nDrift and Echo, Vol. 7\nand waits in the frame")
     assert not _same("Wiring of the box.\nHere it denotes the input of\nthe frame", "Wiring of the box.\nthe frame")
-    assert splits.forms("Fig. 3") == [] and splits.forms("") == []
+    assert list(splits.forms("Fig. 3")) == list(splits.forms("")) == []
+    assert _same("wiring of the wide box in a narrow\nframe of nine copies", "wiring of the wide box in a narrow\ndrift and echo\nframe of nine copies")
+    assert len(list(splits.forms("\n".join(["some words of a long text that goes on and on"] * 400)))) < 50
     assert not _same("the adder folds into nine copies of a box today", "the ladder unfolds into ten copies of a box today")
 
 
