@@ -16,6 +16,8 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,17 +118,41 @@ def similar_forms(left: DataFrame, right: DataFrame, t: float = SIMILARITY) -> D
     return pairs.join(ts[0], ["kind", "l"]).join(ts[1], ["kind", "r"]).withColumn("jaccard", both / (F.col("nl") + F.col("nr") - both)).filter(F.col("jaccard") >= t).select("kind", "l", "r", "jaccard")
 
 
-def _splits(words: Column, longest: int) -> Column:
-    """(at, size, affix, plain, core) for every run of at most so many words as the core: the hash of what stands before and after it, and whether that is nothing."""
-    n = F.size(words)
-    part = lambda lo, k: F.array_join(F.slice(words, lo, k), " ")
-    begins = F.sequence(F.lit(1), n)
-    sizes = lambda i: F.sequence(F.lit(1), F.least(n - i + 1, F.lit(longest)))
-    cut = F.flatten(F.transform(begins, lambda i: F.transform(sizes(i), lambda k: F.struct(i.alias("i"), k.alias("k")))))
-    rest = lambda c: F.concat(part(F.lit(1), c["i"] - 1), F.lit("|"), part(c["i"] + c["k"], n - c["i"] - c["k"] + 1))
-    runs = F.transform(cut, lambda c: F.struct(c["i"].alias("at"), c["k"].alias("size"), F.xxhash64(rest(c)).alias("affix"), (c["k"] == n).alias("plain"), part(c["i"], c["k"]).alias("core")))
-    # A longer value is its own core too; it can't be an entry, but has a row.
-    return F.when(n <= longest, runs).otherwise(F.concat(runs, F.array(F.struct(F.lit(1).alias("at"), n.alias("size"), F.xxhash64(F.lit("|")).alias("affix"), F.lit(True).alias("plain"), F.array_join(words, " ").alias("core")))))
+_WINDOW = "kind string, vid string, fid long, at int, size int, affix long, plain boolean, form string"
+
+
+def _windows(forms: DataFrame, longest: int) -> DataFrame:
+    """kind, vid, fid, at, size, affix, plain, form: every run of at most so many words of a form as its core, and the form itself.
+
+    affix is the hash of what stands before and after the core, plain whether that is nothing.
+    Hashes go on word by word from both ends, so the work grows with the words of a form, not their square.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("kind", pa.string()), ("vid", pa.string()), ("fid", pa.int64()), ("at", pa.int32()), ("size", pa.int32()), ("affix", pa.int64()), ("plain", pa.bool_()), ("form", pa.string())])
+        for b in batches:
+            rows: list[tuple] = []
+            for kind, vid, fid, form in zip(*(b.column(c).to_pylist() for c in ("kind", "vid", "fid", "form")), strict=True):
+                words = form.split(" ")
+                n = len(words)
+                ends = []
+                for side in (words, words[::-1]):
+                    h = [0]
+                    for w in side:
+                        h.append(xxhash.xxh64_intdigest(w, seed=h[-1]))
+                    ends.append(h)
+                for i in range(n):
+                    for k in range(1, min(longest, n - i) + 1):
+                        rows.append((kind, vid, fid, i + 1, k, xxhash.xxh64_intdigest(f"{ends[0][i]},{ends[1][n - i - k]}") - 2**63, k == n, " ".join(words[i : i + k])))
+                    if len(rows) > 100_000:
+                        yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+                        rows = []
+                if n > longest:  # it can't be an entry, but is its own core
+                    rows.append((kind, vid, fid, 1, n, 0, True, form))
+            if rows:
+                yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+
+    return forms.select("kind", "vid", "fid", "form").mapInArrow(run, _WINDOW)
 
 
 def map_to_reference(values: DataFrame, reference: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -147,8 +173,9 @@ def map_to_reference(values: DataFrame, reference: DataFrame, similarity: float
         .groupBy("kind", "form").agg(F.min("ref_id").alias("ref_id")).filter(F.col("form") != "")
     )
     solid = F.replace(F.col("form"), F.lit(" "), F.lit(""))
-    longest = (listed.agg(F.max(F.size(F.split("form", " ")))).first()[0] or 0) + SPARE
-    split = settle(mine.select("kind", "vid", "fid", F.explode(_splits(F.split("form", " "), longest)).alias("s")).select("kind", "vid", "fid", "s.*").withColumnRenamed("core", "form"))
+    most, letters = listed.agg(F.max(F.size(F.split("form", " "))), F.max(F.length(solid))).first()
+    longest = (most or 0) + SPARE
+    split = settle(_windows(mine, longest))
     known = listed.select("kind", solid.alias("solid"), "ref_id").distinct()
     word = settle(listed.select("kind", F.explode(F.split("form", " ")).alias("word")).distinct())
     plain = F.col("plain")
@@ -169,7 +196,8 @@ def map_to_reference(values: DataFrame, reference: DataFrame, similarity: float
     short = cores.withColumn("stem", F.regexp_extract("form", r"([^\s.]+)\.", 1))
     longer = short.filter(F.col("stem") != "").join(stems, ["kind", "stem"]).withColumn("form", F.replace(F.col("form"), F.concat("stem", F.lit(".")), F.col("word")))
     cores = settle(cores.unionByName(longer.select(*cores.columns)).withColumn("form", F.replace(F.col("form"), F.lit("."), F.lit(""))).filter(F.col("form") != "").distinct())
-    pairs = similar_forms(cores, listed, similarity)
+    # No core is an entry by so few edits if it is that much longer than all.
+    pairs = similar_forms(cores.filter(F.length(solid) <= (letters or 0) + allowed(letters or 0)), listed, similarity)
     bare = lambda c: F.replace(F.col(c), F.lit(" "), F.lit(""))
     checked = pairs.withColumn("edits", F.pandas_udf(_edits, "long")(bare("l"), bare("r"))).withColumn("room", F.length(bare("r")))
     # The same steps as allowed(): short names are taken only as they are.
