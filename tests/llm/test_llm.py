@@ -284,6 +284,47 @@ def test_neighbours_decide_what_is_misread(spark):
     assert scans.correct_words("the phose and register of the code", lex) == ("the phase and register of the code", True)
 
 
+def test_every_known_word_has_a_vector(spark):
+    """However many words and contexts there are."""
+    word = lambda i: "".join(chr(97 + int(c)) for c in f"{i:05}")
+    lex = scans.learn(spark.createDataFrame([(" ".join(word(i) for i in range(k, 1200)) + " " + " ".join(word(i) for i in range(k)),) for k in range(6)], "text string"))
+    assert len(lex.counts) == 1200 and all(w in lex.vectors[2] for w in lex.counts)
+    lex = scans.learn(spark.createDataFrame([(" ".join(f"the {word(i)}" for i in range(k, 21000, 7)),) for k in range(7)] * 5, "text string"))
+    assert len(lex.counts) == 21001 and all(w in lex.vectors[0] for w in lex.counts)
+    assert np.isfinite(lex.vectors[1]).all() and np.abs(lex.vectors[1]).max() > 0.2
+
+
+def test_rare_words_stand_beside_numbers(spark):
+    """A number after a word of few uses that numbers follow is no page number; after another it is one."""
+    rows = [("the gate and the register of the box " * 100,)] * 700 + [(f"so by corollary {i} of the proof and by duality of the box",) for i in range(8)]
+    lex = scans.learn(spark.createDataFrame(rows, "text string"))
+    assert lex.counts["corollary"] < scans.CENTER * lex.total
+    mend = lambda t: scans.mend(t, False, 7, set(), None, lex)[1]
+    assert mend("so by corollary 7 of the proof") == set() and mend("so by duality 7 of the proof") == {"folio"}
+
+
+def test_vectors_learned_by_the_workers_are_those_of_the_driver(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [" ".join(rng.choice("the gate phase box and qubit register of proof code theorem 3".split()) for _ in range(12)) for _ in range(300)]
+    figs = [(i, "2001.00001", 3, r, None, None) for i, r in enumerate(rows)]
+    figs += [(1000 + i, "2001.00001", 3, "hot arid desert with a lemma 3 of rain", "hot arid desert the boundary condition", None) for i in range(12)]
+    figs += [(1500, None, 3, "alone/alone/alone alone/alone/alone", None, None)]
+    figs += [(2000, None, 7, "hot arid desert", "the boundory gate by lemma 7 of boun- dary and by rain 7 hot code", None)]
+    df = spark.createDataFrame(figs, "candidate_id long, arxiv_id string, page_num int, caption_text string, referencing_context string, figure_content_text string")
+    blocks = spark.createDataFrame([], "block_key long, arxiv_id string, page_num int, block_id int, bbox struct<x0:double,y0:double,x1:double,y1:double>, text string")
+    texts = scans.corpus(df, blocks)
+    of = lambda **x: sorted((r["row_id"], r["field_name"], r["repaired"], tuple(r["damage"])) for r in scans.mended(df, blocks, **x).collect())
+    here, got = scans.learn(texts), of()
+    assert [x[2:] for x in got if x[0] == 2000] == [("hot arid desert", ()), ("the boundary gate by lemma 7 of boundary and by rain hot code", ("break", "folio", "misread"))]
+    monkeypatch.setattr(scans, "CELLS", 0)
+    there = scans.learn(texts)
+    rows, center, columns, context = here.vectors
+    assert set(there.vectors[0]) == set(rows) and there.vectors[2] == columns and np.allclose(there.vectors[3], context, atol=1e-2)
+    assert all(np.allclose(there.vectors[1][i], center[rows[w]], atol=1e-2) for w, i in there.vectors[0].items())
+    assert all({w: x for w, x in a.items() if x} == {w: x for w, x in b.items() if x} for a, b in zip(here.beside, there.beside, strict=True))
+    assert of(words=5, common=5e-2) == got
+
+
 def test_skip_gram_groups_like_words():
     counts = np.zeros((4, 4), np.float32)
     counts[:2, :2] = 50
